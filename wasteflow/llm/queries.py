@@ -5,6 +5,10 @@ from __future__ import annotations
 import public_tokenizers
 
 from .bpe import bpe_round_trip
+from .exact_dedup import exact_dedup
+from .langid import identify
+from .packing import pack_documents
+from .secrets import find_secrets
 
 VOCAB = "byte_bpe_50k.json"
 
@@ -13,9 +17,33 @@ def table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_pack(spark, sf_dir):
+    return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCAB))
+
+
+def op4_langid(spark, sf_dir):
+    return identify(table(spark, sf_dir, "documents"))
+
+
+def op5_secrets(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return find_secrets(docs, public_tokenizers.path(VOCAB)).drop("text")
+
+
 def op6_bpe(spark, sf_dir):
     return bpe_round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCAB))
 
 
-QUERIES = {f.__name__: f for f in (op6_bpe,)}
-ORACLE_SQL: dict[str, str] = {}
+def op9_exact_dedup(spark, sf_dir):
+    return exact_dedup(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op2_pack, op4_langid, op5_secrets, op6_bpe, op9_exact_dedup)}
+
+# Queries whose rows SQL can express.
+ORACLE_SQL = {
+    "op9_exact_dedup": """
+        WITH t AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS x FROM documents)
+        SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = max(doc_id) OVER w AS kept, sha256(x) AS text_sha256
+        FROM t WINDOW w AS (PARTITION BY x)""",
+}
