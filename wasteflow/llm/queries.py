@@ -9,6 +9,7 @@ from .exact_dedup import exact_dedup
 from .jaccard import jaccard_components
 from .langid import identify
 from .packing import pack_documents
+from .pitman_yor import score_documents
 from .secrets import find_secrets
 
 VOCAB = "byte_bpe_50k.json"
@@ -35,6 +36,10 @@ def op6_bpe(spark, sf_dir):
     return bpe_round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCAB))
 
 
+def op7_hpy(spark, sf_dir):
+    return score_documents(table(spark, sf_dir, "documents"))
+
+
 def op8_jaccard(spark, sf_dir):
     return jaccard_components(table(spark, sf_dir, "documents"))
 
@@ -43,7 +48,7 @@ def op9_exact_dedup(spark, sf_dir):
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_pack, op4_langid, op5_secrets, op6_bpe, op8_jaccard, op9_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op2_pack, op4_langid, op5_secrets, op6_bpe, op7_hpy, op8_jaccard, op9_exact_dedup)}
 
 # Queries whose rows SQL can express.
 ORACLE_SQL = {
