@@ -8,9 +8,11 @@ from .bpe import bpe_round_trip
 from .exact_dedup import exact_dedup
 from .jaccard import jaccard_components
 from .langid import identify
+from .licenses import oracle, scan_licenses
 from .packing import pack_documents
 from .pitman_yor import score_documents
 from .secrets import find_secrets
+from .topk import exact_top_k
 
 VOCAB = "byte_bpe_50k.json"
 
@@ -19,6 +21,10 @@ def table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_topk(spark, sf_dir):
+    return exact_top_k(table(spark, sf_dir, "embeddings"))
+
+
 def op2_pack(spark, sf_dir):
     return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCAB))
 
@@ -48,10 +54,22 @@ def op9_exact_dedup(spark, sf_dir):
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_pack, op4_langid, op5_secrets, op6_bpe, op7_hpy, op8_jaccard, op9_exact_dedup)}
+def op10_licenses(spark, sf_dir):
+    return scan_licenses(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_topk, op2_pack, op4_langid, op5_secrets, op6_bpe, op7_hpy, op8_jaccard, op9_exact_dedup, op10_licenses)}
 
 # Queries whose rows SQL can express.
 ORACLE_SQL = {
+    "op1_topk": """
+        WITH e AS (SELECT vec_id, list_transform(embedding, lambda v: CAST(floor(256 * CAST(v AS DOUBLE)) AS BIGINT)) AS x FROM embeddings
+                   WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda v: v IS NULL OR isnan(v) OR isinf(v))) = 0),
+        s AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_sum(list_transform(list_zip(q.x, c.x), lambda p: p[1] * p[2])) AS BIGINT) AS score
+              FROM e q JOIN e c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id)
+        SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+        FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5""",
+    "op10_licenses": oracle(),
     "op9_exact_dedup": """
         WITH t AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS x FROM documents)
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = max(doc_id) OVER w AS kept, sha256(x) AS text_sha256
