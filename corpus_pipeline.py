@@ -1,11 +1,62 @@
-"""Corpus pipeline: language ID, exact dedup, near-duplicate join, secret scan, packing."""
+"""Corpus pipeline: language ID, exact dedup, near-duplicate join, secret scan, packing.
+
+Each stage takes (spark, docs, sf_dir) and gets the table that the stage before it wrote. All but the last return the
+columns of documents. Null, empty and repeated rows have the results that the operators' docstrings define.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from wasteflow.llm.common import materialize
+from wasteflow.llm.exact_dedup import exact_dedup
+from wasteflow.llm.jaccard import jaccard_components
+from wasteflow.llm.langid import held_out, predict, train_profiles
+from wasteflow.llm.packing import pack_documents
+from wasteflow.llm.secrets import redact
+
+VOCAB = "byte_bpe_50k.json"
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps documents in which a language is recognised; those without text or letters go."""
+    found = predict(docs, train_profiles(docs.where(~held_out())))
+    return found.where("lang_pred <> 'und'").select(*docs.columns)
+
+
+def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents with equal text, the one with the largest id stays."""
+    kept = exact_dedup(docs).where("kept").select(F.col("doc_id").alias("keep"))
+    return docs.join(kept.hint("merge"), F.col("doc_id").eqNullSafe(F.col("keep")), "left_semi").select(*docs.columns)
+
+
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each component of near-duplicates (five words, similarity 0.8), the smallest id stays; null ids stay."""
+    kept = jaccard_components(docs, width=5, percent=80).where("doc_id = component_id").select(F.col("doc_id").alias("keep"))
+    return docs.where("doc_id is not null").join(kept.hint("merge"), F.col("doc_id") == F.col("keep"), "left_semi").unionByName(docs.where("doc_id is null")).select(*docs.columns)
+
+
+def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every secret in a text gives way to a mark; all documents stay, and those without secrets are unchanged."""
+    return redact(docs, public_tokenizers.path(VOCAB))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The remaining documents as pieces of packed sequences."""
+    return pack_documents(docs, public_tokenizers.path(VOCAB))
+
+
+STAGES = [("language", language), ("exact_dedup", exact), ("near_dedup", near), ("secrets", secrets), ("packing", pack)]
+
+#: SQL cannot express the language, secret and packing stages.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the documents of sf_dir; what each returns is written to the shared folder and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)

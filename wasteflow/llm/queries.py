@@ -6,6 +6,7 @@ import public_tokenizers
 
 from .bpe import bpe_round_trip
 from .exact_dedup import exact_dedup
+from .extraction import extract_main_text
 from .jaccard import jaccard_components
 from .langid import identify
 from .licenses import oracle, scan_licenses
@@ -29,6 +30,10 @@ def op2_pack(spark, sf_dir):
     return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCAB))
 
 
+def op3_extract(spark, sf_dir):
+    return extract_main_text(table(spark, sf_dir, "pages"))
+
+
 def op4_langid(spark, sf_dir):
     return identify(table(spark, sf_dir, "documents"))
 
@@ -58,7 +63,7 @@ def op10_licenses(spark, sf_dir):
     return scan_licenses(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_topk, op2_pack, op4_langid, op5_secrets, op6_bpe, op7_hpy, op8_jaccard, op9_exact_dedup, op10_licenses)}
+QUERIES = {f.__name__: f for f in (op1_topk, op2_pack, op3_extract, op4_langid, op5_secrets, op6_bpe, op7_hpy, op8_jaccard, op9_exact_dedup, op10_licenses)}
 
 # Queries whose rows SQL can express.
 ORACLE_SQL = {
