@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from .common import map_rows
 
 PROFILE = 400
+HELD_GRAMS = 2_000_000  # n-grams that a task holds before it passes their counts on
 PROFILE_ENTRIES = 2_000_000  # most entries of all profiles together that are sent to tasks (16 bytes each)
 _LETTERS = np.zeros(0x110000, bool)
 
@@ -54,15 +55,25 @@ def train_profiles(docs: DataFrame, lang_col: str = "lang", text_col: str = "tex
     """lang, code, rank (from 0): each language's profile from all rows with a language and a text."""
 
     def count(batches):
-        for b in batches:
-            texts: dict[str, list] = {}
-            for lang, text in zip(b["lang"], b["text"]):
-                if (points := letters_only(text)) is not None:
-                    texts.setdefault(lang, []).append(grams(points))
+        texts: dict[str, list] = {}
+        held = 0
+
+        def counted():
             for lang, found in texts.items():
                 values, counts = np.unique(np.concatenate(found), return_counts=True)
                 yield {"lang": [lang] * len(values), "code": values, "n": counts}
 
+        for b in batches:
+            for lang, text in zip(b["lang"], b["text"]):
+                if (points := letters_only(text)) is not None:
+                    texts.setdefault(lang, []).append(own := grams(points))
+                    held += len(own)
+                if held >= HELD_GRAMS:
+                    yield from counted()
+                    texts.clear()
+                    held = 0
+        yield from counted()
+
     counted = map_rows(docs.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).where("lang is not null and text is not null"), count, "lang string, code long, n long")
     order = Window.partitionBy("lang").orderBy(F.desc("n"), "code")
     return counted.groupBy("lang", "code").agg(F.sum("n").alias("n")).withColumn("rank", F.row_number().over(order) - 1).where(F.col("rank") < top).select("lang", "code", "rank")
