@@ -1,14 +1,41 @@
-"""Registry of the analytics queries and their SQL oracles."""
+"""Registry of the analytics queries and their SQL oracles: one key per operator, `<row>_<name>`."""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+import importlib
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+from .views import Tables, oracle
+
+_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+_ORACLES: dict[str, str] = {}
+_MODULES = ("normalize", "pricing", "relational", "aggregates", "audits", "text", "facts", "search", "exports", "intake")
+
+
+def query(name: str, sql: str | None = None):
+    """Registers fn(tables) under name, with an oracle if SQL can express it."""
+
+    def register(fn: Callable[[Tables], DataFrame]):
+        _QUERIES[name] = lambda spark, sf_dir: fn(Tables(spark, sf_dir))
+        if sql:
+            _ORACLES[name] = oracle(sql)
+        return fn
+
+    return register
+
+
+def load() -> None:
+    for m in _MODULES:
+        importlib.import_module(f"wasteflow.plans.{m}")
 
 
 def queries() -> dict:
-    return QUERIES
+    load()
+    return _QUERIES
 
 
 def oracle_sql() -> dict:
-    return ORACLES
+    load()
+    return _ORACLES
