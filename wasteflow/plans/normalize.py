@@ -17,7 +17,7 @@ def factor_sql(unit: str, table: dict, default: str) -> str:
 
 
 @query("d1_to_metric_tons", f"""WITH u AS (SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, CAST(l_quantity AS DOUBLE) AS v, {UNIT} AS u FROM {{lineitem}})
-    SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, CASE WHEN u = 'barrels' THEN v ELSE round(v * ({factor_sql('u', R.UNITS, 'NULL')}), 3) END AS value,
+    SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, CASE WHEN u = 'barrels' THEN v ELSE round(round(v * ({factor_sql('u', R.UNITS, 'NULL')}), 4), 3) END AS value,
     CASE WHEN u = 'barrels' THEN u ELSE 'metric_ton' END AS unit FROM u""")
 def _(t):
     q = N.to_metric_tons(F.col("l_quantity").cast("double"), F.expr(UNIT))

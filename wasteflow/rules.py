@@ -86,3 +86,20 @@ PLAIN_CHARS = (("‘", "'"), ("’", "'"), ("“", '"'), ("”", '"'), ("–", "
 FACT_SCHEMAS = (("carbon_emission", ["co2", "carbon", "emission", "ghg", "greenhouse"]), ("symbiosis_exchange", ["symbiosis", "exchange", "industrial park", "eco-park"]))
 FACT_MATERIALS = ("steel", "iron", "copper", "aluminum", "plastic", "paper", "slag", "fly ash")
 ECO_PARKS = ("kalundborg", "ulsan", "tianjin", "kawasaki")
+
+# Volume tiers (tons a year), regional price modifiers, and one industry's waste profile (material, percent).
+TIERS = {"small": 500, "medium": 5000, "large": 50000, "enterprise": 200000}
+REGIONS = {"north_america": 1.00, "europe": 1.15, "mena": 0.85, "asia_pacific": 0.95, "latin_america": 0.75, "africa": 0.65}
+AUTOMOTIVE = (("scrap_steel", 45), ("scrap_aluminum", 20), ("mixed_plastics", 15), ("used_oil", 12), ("scrap_tires", 8))
+
+# Reference prices of materials: low, high (USD a ton), CO2 factor.
+REFERENCE_PRICES = (
+    ("scrap_steel", 150, 350, 1.74), ("scrap_aluminum", 800, 1800, 9.7), ("scrap_copper", 4000, 8000, 2.6), ("mixed_metals", 100, 400, 3.0), ("precious_metals", 10000, 50000, 12.0),
+    ("pet_plastic", 200, 500, 2.0), ("hdpe_plastic", 250, 600, 1.9), ("mixed_plastics", 50, 200, 2.2), ("pvc_plastic", 100, 300, 2.4),
+    ("corrugated_cardboard", 80, 200, 0.9), ("mixed_paper", 40, 120, 0.8), ("office_paper", 100, 250, 0.7), ("clear_glass", 30, 80, 0.5), ("mixed_glass", 15, 50, 0.4),
+    ("food_waste", -20, 50, 0.4), ("yard_waste", -10, 30, 0.2), ("agricultural_waste", -15, 40, 0.3), ("concrete_rubble", -5, 15, 0.1), ("wood_waste", 10, 60, 0.3), ("asphalt", 5, 30, 0.15), ("gypsum", -10, 20, 0.1),
+    ("fly_ash", 5, 50, 0.1), ("slag", 10, 40, 0.2), ("used_oil", 50, 200, 2.5), ("solvents", 100, 500, 2.0), ("spent_catalysts", 500, 5000, 8.0),
+    ("tailings", 5, 25, 0.1), ("waste_rock", 2, 15, 0.05), ("mining_chemicals", 50, 300, 1.5), ("drilling_waste", -50, 20, 0.5), ("produced_water", -30, 10, 0.2), ("tank_bottoms", -20, 100, 1.0),
+    ("e_waste", 200, 2000, 20.0), ("circuit_boards", 3000, 15000, 25.0), ("batteries", 100, 1000, 5.0), ("textile_waste", 50, 300, 1.5), ("fiber_waste", 100, 500, 1.2),
+    ("medical_waste", -500, -100, 3.0), ("pharmaceutical_waste", -300, 50, 2.0), ("scrap_tires", -50, 100, 2.8), ("rubber_waste", 50, 200, 2.5),
+)
