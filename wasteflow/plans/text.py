@@ -1 +1,72 @@
-"""Queries."""
+"""Queries of text cleaning (C)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import text as T
+from .catalog import query
+
+NOISE = "html"
+for _p in T.R.NOISE_ELEMENTS:
+    NOISE = f"regexp_replace({NOISE}, '{_p.replace(chr(39), chr(39) * 2)}', '', 'gis')"
+
+
+@query("c1_strip_noise_elements", f"SELECT page_id, {NOISE} AS html FROM {{pages}}")
+def _(t):
+    return t.pages.select("page_id", T.strip_noise_elements(F.col("html")).alias("html"))
+
+
+@query("c2_strip_html_basic", "SELECT page_id, regexp_replace(html, '<[^>]+>', ' ', 'g') AS text FROM {pages}")
+def _(t):
+    return t.pages.select("page_id", T.strip_html_basic(F.col("html"), False).alias("text"))
+
+
+@query("c3_remove_text_noise", "SELECT doc_id, regexp_replace('Skip to content. ' || text || ' Follow us on', '(skip to (main )?content|follow us on)', '', 'gi') AS text FROM {documents}")
+def _(t):
+    return t.documents.select("doc_id", T.remove_text_noise(F.concat(F.lit("Skip to content. "), F.col("text"), F.lit(" Follow us on"))).alias("text"))
+
+
+@query("c4_normalize_unicode", "SELECT doc_id, nfc_normalize(replace(replace(text, '—', '-'), '…', '...')) || '\"-' AS text FROM {documents}")
+def _(t):
+    return t.documents.select("doc_id", T.normalize_unicode(F.concat(F.col("text"), F.lit("”—"))).alias("text"))
+
+
+@query("c5_clean_whitespace", "SELECT doc_id, regexp_replace(regexp_replace(replace(text, chr(9), ' '), ' +', ' ', 'g'), '\\n{3,}', chr(10) || chr(10), 'g') AS text FROM {documents}")
+def _(t):
+    return t.documents.select("doc_id", T.clean_whitespace(F.col("text")).alias("text"))
+
+
+@query("c6_remove_control_chars", "SELECT doc_id, text || 'ab' AS text FROM {documents}")
+def _(t):
+    return t.documents.select("doc_id", T.remove_control_chars(F.concat(F.col("text"), F.lit("a\x07​b"))).alias("text"))
+
+
+@query("c7_clean_text")
+def _(t):
+    return t.documents.select("doc_id", T.clean_text(F.col("text")).alias("text"))
+
+
+@query("c8_clean_html")
+def _(t):
+    return t.pages.select("page_id", T.clean_html(F.col("html")).alias("text"))
+
+
+@query("c9_training_clean", "SELECT doc_id, trim(regexp_replace(text, '\\s+', ' ', 'g')) AS text FROM {documents}")
+def _(t):
+    return t.documents.select("doc_id", T.training_clean(F.col("text")).alias("text"))
+
+
+@query("c10_mojibake_flag", "SELECT id, regexp_matches(source_quote, 'Ã|ï¿½|â€') AS flag FROM {faulty}")
+def _(t):
+    return t.faulty.select("id", T.mojibake_flag(F.col("source_quote")).alias("flag"))
+
+
+@query("c11_fix_mojibake", "SELECT id, replace(source_quote, 'cafÃ©', 'café') AS text FROM {faulty}")
+def _(t):
+    return t.faulty.select("id", T.fix_mojibake(F.col("source_quote")).alias("text"))
+
+
+@query("c12_content_dedup", "SELECT min(doc_id) AS doc_id, sha256(text) AS content_hash FROM {documents} GROUP BY text")
+def _(t):
+    return T.content_dedup(t.documents, "text", "doc_id").select("doc_id", "content_hash")
