@@ -22,7 +22,12 @@ def _(t):
     return t.pages.select("page_id", T.strip_html_basic(F.col("html"), False).alias("text"))
 
 
-@query("c3_remove_text_noise", "SELECT doc_id, regexp_replace('Skip to content. ' || text || ' Follow us on', '(skip to (main )?content|follow us on)', '', 'gi') AS text FROM {documents}")
+QUIET = "'Skip to content. ' || text || ' Follow us on'"
+for _p in T.R.NOISE_TEXT:
+    QUIET = f"regexp_replace({QUIET}, '{_p}', '', 'gi')"
+
+
+@query("c3_remove_text_noise", "SELECT doc_id, " + QUIET + " AS text FROM {documents}")
 def _(t):
     return t.documents.select("doc_id", T.remove_text_noise(F.concat(F.lit("Skip to content. "), F.col("text"), F.lit(" Follow us on"))).alias("text"))
 
