@@ -1 +1,61 @@
-"""Queries."""
+"""Queries of incremental intake (N)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..streaming import intake as N
+from .catalog import query
+
+
+def now(t):
+    return F.lit(t.events.agg(F.max("ts")).first()[0])
+
+
+LAST = "(SELECT max(ingested_at) FROM {queue})"
+
+
+@query("n2_pending_documents", f"SELECT id, status FROM {{queue}} WHERE status = 'pending' OR (status = 'processing' AND ingested_at < {LAST} - INTERVAL 1 HOUR) ORDER BY ingested_at, id LIMIT 100")
+def _(t):
+    return N.pending_documents(t.queue, now(t)).select("id", "status")
+
+
+@query("n3_apply_status", """WITH u AS (SELECT o_custkey AS id, o_orderdate AS happened, CASE o_orderstatus WHEN 'F' THEN 'failed' ELSE 'completed' END AS status, o_orderkey FROM {orders}), l AS (SELECT * FROM u QUALIFY row_number() OVER (PARTITION BY id ORDER BY happened DESC, status DESC, 'm' || o_orderkey::VARCHAR DESC) = 1)
+    SELECT c_custkey AS id, coalesce(l.status, 'pending') AS status, CASE WHEN l.status = 'failed' THEN 'm' || o_orderkey::VARCHAR END AS message FROM {customer} LEFT JOIN l ON c_custkey = l.id""")
+def _(t):
+    docs = t.customer.select(F.col("c_custkey").alias("id"), F.lit("pending").alias("status"), F.lit(None).cast("timestamp").alias("processed_at"))
+    updates = t.orders.select(F.col("o_custkey").alias("id"), F.col("o_orderdate").cast("timestamp").alias("at"), F.expr("CASE o_orderstatus WHEN 'F' THEN 'failed' ELSE 'completed' END").alias("status"), F.concat(F.lit("m"), "o_orderkey").alias("message"))
+    return N.apply_status(docs, updates).select("id", "status", "message")
+
+
+@query("n4_recent_activity", f"SELECT count(*) AS n FROM {{queue}} WHERE ingested_at > {LAST} - INTERVAL 60 MINUTE")
+def _(t):
+    return N.recent_activity(t.queue, "ingested_at", now(t), 60)
+
+
+@query("n4_windowed_activity", "SELECT date_trunc('hour', ts) AS start, date_trunc('hour', ts) + INTERVAL 1 HOUR AS \"end\", count(*) AS n FROM {events} GROUP BY 1, 2")
+def _(t):
+    return N.windowed_activity(t.events, "ts")
+
+
+@query("n5_stream_dedup", "SELECT min(doc_id) AS doc_id, sha256(text) AS content_hash FROM {documents} GROUP BY text")
+def _(t):
+    return N.stream_dedup(t.documents, "text", "doc_id").select("doc_id", "content_hash")
+
+
+DAYS = "SELECT CAST(ts AS DATE) AS day, CAST(floor(count(*) / 10) AS BIGINT) AS n FROM {events} GROUP BY 1"
+
+
+@query("n6_plateau_detect", f"WITH d AS ({DAYS}), c AS (SELECT *, CASE WHEN n = lag(n) OVER (ORDER BY day) THEN 0 ELSE 1 END AS c FROM d), g AS (SELECT *, sum(c) OVER (ORDER BY day) AS g FROM c) SELECT day, n, CAST(row_number() OVER (PARTITION BY g ORDER BY day) AS INT) AS run, (row_number() OVER (PARTITION BY g ORDER BY day) >= 2 AND n > 10) OR n > 850000 AS plateau FROM g")
+def _(t):
+    return N.plateau_detect(t.sql(DAYS), "day", 2, 10)
+
+
+@query("n7_run_log", "SELECT source AS run, count(*) FILTER (status = 'completed') AS processed, count(*) FILTER (status = 'failed') AS failed, min(ingested_at) AS started_at, max(ingested_at) AS completed_at FROM {queue} GROUP BY 1")
+def _(t):
+    return N.run_log(t.queue.withColumnRenamed("source", "run"), "ingested_at", "ingested_at")
+
+
+@query("n8_collect_by_source", "SELECT source, count(*) AS n, round(count(*) / ((epoch(date_trunc('second', max(ingested_at))) - epoch(date_trunc('second', min(ingested_at)))) / 3600.0), 6)::DOUBLE AS per_hour FROM {queue} GROUP BY 1")
+def _(t):
+    return N.collect_by_source(t.queue, "ingested_at").withColumn("per_hour", F.round("per_hour", 6))
