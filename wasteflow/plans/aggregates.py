@@ -10,7 +10,10 @@ from ..operators.classify import classify, sql_case
 from .catalog import query
 
 CAT = sql_case("material", R.PART_RULES, "other")
-TONS = F.sum("quantity_tons").cast("double")
+def tons():
+    return F.sum("quantity_tons").cast("double")
+
+
 
 
 @query("g1_pipeline_stats_view", "SELECT source, status, count(*) AS n, round(sum(size_bytes), 2)::DOUBLE AS total_bytes, min(ingested_at) AS first_at, max(ingested_at) AS last_at FROM {queue} GROUP BY 1, 2")
@@ -20,7 +23,7 @@ def _(t):
 
 @query("g2_material_summary_view", "SELECT material, material_subcategory, count(*) AS n, sum(quantity_tons)::DOUBLE AS tons, round(avg(extraction_confidence::DOUBLE), 9) AS confidence FROM {listings} GROUP BY 1, 2")
 def _(t):
-    return A.grouped(t.listings, ["material", "material_subcategory"], n=F.count("*"), tons=TONS, confidence=F.round(F.avg(F.col("extraction_confidence").cast("double")), 9))
+    return A.grouped(t.listings, ["material", "material_subcategory"], n=F.count("*"), tons=tons(), confidence=F.round(F.avg(F.col("extraction_confidence").cast("double")), 9))
 
 
 @query("g3_company_emissions_view", "SELECT company, year, sum(co2_tons)::DOUBLE AS co2_tons FROM {carbon} GROUP BY 1, 2 ORDER BY 1, 2")
@@ -96,7 +99,7 @@ def _(t):
 @query("g15_coverage_by_category", f"SELECT {CAT} AS category, count(*) AS n, count(m.material_type_id) AS priced, sum(quantity_tons)::DOUBLE AS tons FROM {{listings}} LEFT JOIN {{mapping}} m ON material = m.material_type_id GROUP BY 1 ORDER BY n DESC, category LIMIT 10")
 def _(t):
     j = t.listings.join(t.mapping, F.col("material") == F.col("material_type_id"), "left")
-    return j.groupBy(classify(F.col("material"), R.PART_RULES, "other").alias("category")).agg(F.count("*").alias("n"), F.count("material_type_id").alias("priced"), TONS.alias("tons")).orderBy(F.desc("n"), "category").limit(10)
+    return j.groupBy(classify(F.col("material"), R.PART_RULES, "other").alias("category")).agg(F.count("*").alias("n"), F.count("material_type_id").alias("priced"), tons().alias("tons")).orderBy(F.desc("n"), "category").limit(10)
 
 
 @query("g16_tons_priced_unpriced", "SELECT (sum(quantity_tons) FILTER (m.material_type_id IS NOT NULL))::DOUBLE AS priced, (sum(quantity_tons) FILTER (m.material_type_id IS NULL))::DOUBLE AS unpriced, round(100 * (sum(quantity_tons) FILTER (m.material_type_id IS NOT NULL))::DOUBLE / sum(quantity_tons)::DOUBLE, 6) AS pct FROM {listings} LEFT JOIN {mapping} m ON material = m.material_type_id")
@@ -104,7 +107,7 @@ def _(t):
     j = t.listings.join(t.mapping, F.col("material") == F.col("material_type_id"), "left")
     q, there = F.col("quantity_tons"), F.col("material_type_id").isNotNull()
     priced = F.sum(F.when(there, q)).cast("double")
-    return j.agg(priced.alias("priced"), F.sum(F.when(~there, q)).cast("double").alias("unpriced"), F.round(F.try_divide(100 * priced, TONS), 6).alias("pct"))
+    return j.agg(priced.alias("priced"), F.sum(F.when(~there, q)).cast("double").alias("unpriced"), F.round(F.try_divide(100 * priced, tons()), 6).alias("pct"))
 
 
 @query("g17_conditional_count", "SELECT count(*) FILTER (source_location <> 'Unknown') AS valid, count(*) FILTER (source_location = 'Unknown') AS unknown FROM {faulty}")
@@ -202,7 +205,7 @@ def _(t):
 
 @query("h9_bounded_per_category", f"WITH p AS (SELECT material, {CAT} AS category, sum(quantity_tons)::DOUBLE AS tons FROM {{listings}} GROUP BY 1, 2), k AS (SELECT * FROM p QUALIFY row_number() OVER (PARTITION BY category ORDER BY tons DESC, material) <= 3) SELECT * FROM k ORDER BY tons DESC, material LIMIT 5")
 def _(t):
-    p = t.listings.groupBy("material", classify(F.col("material"), R.PART_RULES, "other").alias("category")).agg(TONS.alias("tons"))
+    p = t.listings.groupBy("material", classify(F.col("material"), R.PART_RULES, "other").alias("category")).agg(tons().alias("tons"))
     return A.bounded_per_category(p, "category", [F.desc("tons"), "material"])
 
 

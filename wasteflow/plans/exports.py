@@ -12,7 +12,10 @@ from ..operators.classify import classify, sql_case
 from .catalog import query
 from .facts import reports
 
-CAT = classify(F.col("material"), R.PART_RULES, "other")
+def category():
+    return classify(F.col("material"), R.PART_RULES, "other")
+
+
 CAT_SQL = sql_case("material", R.PART_RULES, "other")
 
 
@@ -28,13 +31,13 @@ def _(t):
 
 @query("m3_chat_examples", f"""SELECT DISTINCT material, '{{"messages":[{{"role":"user","content":"Classify: ' || material || '"}},{{"role":"assistant","content":"' || {CAT_SQL} || '"}}]}}' AS messages FROM {{listings}}""")
 def _(t):
-    return X.chat_examples(t.listings, CAT)
+    return X.chat_examples(t.listings, category())
 
 
 @query("m4_graph_edges", f"""WITH l AS (SELECT * FROM {{listings}} WHERE quantity_tons > 10) SELECT source_company AS source, 'GENERATES' AS relation, material AS target, sum(quantity_tons)::DOUBLE AS weight FROM l GROUP BY 1, 3
     UNION ALL SELECT DISTINCT material, 'IS_CATEGORY', {CAT_SQL}, 1.0::DOUBLE FROM l UNION ALL SELECT DISTINCT source_company, 'LOCATED_IN', source_location, 1.0::DOUBLE FROM l""")
 def _(t):
-    return X.graph_edges(t.listings, CAT)
+    return X.graph_edges(t.listings, category())
 
 
 @query("m5_qa_pairs", """WITH n AS (SELECT DISTINCT material, source_company FROM {listings}), k AS (SELECT * FROM n QUALIFY row_number() OVER (PARTITION BY material ORDER BY source_company) <= 50)
@@ -72,4 +75,4 @@ def _(t):
 @query("m11_export_counts", f"WITH l AS (SELECT * FROM {{listings}} WHERE quantity_tons > 10) SELECT 'corpus' AS name, count(*) AS n FROM {{listings}} UNION ALL SELECT 'edges', (SELECT count(*) FROM (SELECT DISTINCT source_company, material FROM l)) + (SELECT count(*) FROM (SELECT DISTINCT material, {CAT_SQL} FROM l)) + (SELECT count(*) FROM (SELECT DISTINCT source_company, source_location FROM l))")
 def _(t):
     n = lambda name, d: d.agg(F.count("*").alias("n")).select(F.lit(name).alias("name"), "n")
-    return n("corpus", X.corpus_lines(t.listings)).unionByName(n("edges", X.graph_edges(t.listings, CAT)))
+    return n("corpus", X.corpus_lines(t.listings)).unionByName(n("edges", X.graph_edges(t.listings, category())))

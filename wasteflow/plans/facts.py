@@ -138,7 +138,7 @@ def _(t):
 @query("e23_csr_to_tables", "SELECT source_company, sum(quantity_tons::INT * 1000)::DOUBLE AS tons, sum(year)::DOUBLE AS co2_tons FROM {listings} GROUP BY 1")
 def _(t):
     r = reports(t)
-    f = csr.csr_facts(r, ("waste", "emission"), "id").join(r.select("id", F.col("source_company").alias("company"), "year"), "id")
+    f = csr.csr_facts(r, ("waste", "emission"), "source_company").withColumnRenamed("source_company", "company").withColumn("year", F.lit(None).cast("int"))
     waste, carbon = csr.csr_to_tables(f)
     a = waste.groupBy("source_company").agg(F.sum("quantity_tons").alias("tons"))
     return a.join(carbon.groupBy(F.col("company").alias("source_company")).agg(F.sum("co2_tons").alias("co2_tons")), "source_company")
