@@ -152,3 +152,8 @@ def test_empty_tables(spark):
     assert A.distinct_on(df, ["material"], ["id"]).count() == 0 and A.material_profile(df).count() == 0
     assert A.distinct_key_count(df, ["material"]).first()["n"] == 0
     assert J.match_partners(df).count() == 0
+
+
+def test_schema_report(spark):
+    df = spark.createDataFrame([(1, "a")], "a int, b string")
+    assert sorted(map(tuple, A.schema_report(df, ["b"]).collect())) == [("a", "int", False), ("b", "string", True)]
