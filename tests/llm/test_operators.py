@@ -123,6 +123,25 @@ def test_secret_spans(spark):
     assert secrets.find_secrets(docs(spark, []), VOCAB).count() == 0
 
 
+LETTERS, UPPER = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+ALPHABETS = {"lower": LETTERS, "upper": UPPER, "base32": UPPER + "234567", "base62": LETTERS + UPPER + "0123456789", "base64url": LETTERS + UPPER + "0123456789-_"}
+
+
+@pytest.mark.parametrize("name", ALPHABETS)
+@pytest.mark.parametrize("length", [20, 32, 40, 64])
+def test_random_strings_are_spans_whatever_their_alphabet(name, length):
+    rng = random.Random(length)
+    runs = ["".join(rng.choice(ALPHABETS[name]) for _ in range(length)) for _ in range(300)]
+    assert sum(secrets.random_spans(f"key {r} end", VOCAB) == [(4, 4 + length)] for r in runs) >= 0.95 * len(runs)
+
+
+def test_known_forms_and_slugs_are_no_secrets_in_linear_time():
+    plain = ["wasteflow/operators/normalize", "data/2020/01/annual-report-final", "MAX_RETRY_COUNT_LIMIT_FOR_ALL", "how-to-use-git-in-10-easy-steps", "123e4567-e89b-12d3-a456-426614174000", "2020-01-01/2021-12-31_0001", hashlib.sha1(b"").hexdigest(), "long-slug-of-plain-words-" * 4000]
+    assert [r for r in plain if secrets.is_random(r, VOCAB)] == []
+    assert secrets.random_spans("a" * 60 + "+", VOCAB) == []
+    assert secrets.is_random("7F3K-9QLM-2XPT-88VW-ZZ3K", VOCAB)
+
+
 def test_exact_dedup(spark):
     rows = [*ROWS, (700, ROWS[0][1], None), (701, (ROWS[0][1] or "").upper(), None), (None, "", None), (5, ROWS[5][1], None), (8, "É", None), (9, "é", None)]
     out = exact_dedup.exact_dedup(docs(spark, rows).repartition(3), capacity=4).collect()

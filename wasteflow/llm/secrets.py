@@ -1,7 +1,8 @@
 """Operator 5: secret spans: fixed patterns, and a token-efficiency test for random strings.
 
 A random string falls apart into many short tokens under a BPE vocabulary, while words and names do not: runs with
-few characters a token are spans of kind `random`. Known digests and identifiers are excluded first.
+few characters a token are spans of kind `random`. Only digests, UUIDs, numbers, and paths or slugs whose separated
+parts are efficient themselves are excluded; the ratio decides all else.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 DIGEST = re.compile(r"(?:[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{56}|[0-9a-f]{64}|[0-9a-f]{96}|[0-9a-f]{128}|[0-9A-F]{32}|[0-9A-F]{40}|[0-9A-F]{64})")
 UUID = re.compile(r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
 NUMBERS = re.compile(r"[0-9_=/+-]+")
-IDENTIFIER = re.compile(r"(?:[A-Z]?[a-z]+|[A-Z]+|[0-9]{1,4}(?![0-9]))(?:[_/-]*(?:[A-Z]?[a-z]+|[A-Z]+|[0-9]{1,4}(?![0-9])))*[_/=-]*")
+SEPARATORS = re.compile(r"[_=/+-]+")
 MAX_RATIO = 2.2
 
 
@@ -39,22 +40,31 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
-def is_plain(run: str) -> bool:
-    """A known digest, a number or an identifier made of words with at most a few digits."""
-    if DIGEST.fullmatch(run) or UUID.fullmatch(run) or NUMBERS.fullmatch(run):
-        return True
-    digits = sum(map(str.isdigit, run))
-    turns = sum(a.islower() and b.isupper() for a, b in zip(run, run[1:]))
-    return digits * 8 <= len(run) and turns * 5 <= len(run) and bool(IDENTIFIER.fullmatch(run))
-
-
 @functools.lru_cache(1 << 16)
 def ratio(run: str, vocab_path: str) -> float:
     return len(run) / len(encoder(vocab_path).encode_ordinary(run))
 
 
+def is_known(run: str) -> bool:
+    """A digest, a UUID or a number."""
+    return bool(DIGEST.fullmatch(run) or UUID.fullmatch(run) or NUMBERS.fullmatch(run))
+
+
+def is_slug(run: str, vocab_path: str, max_ratio: float = MAX_RATIO) -> bool:
+    """A path or slug: separated parts, each a number, at most two characters long, or efficient, and one at least efficient.
+
+    Parts in capitals are judged in lower case, as constants' names are.
+    """
+    parts = [p for p in SEPARATORS.split(run) if len(p) > 2 and not p.isdigit()]
+    return parts != [run] and bool(parts) and all(ratio(p.lower() if p.isupper() else p, vocab_path) > max_ratio for p in parts)
+
+
+def is_random(run: str, vocab_path: str, max_ratio: float = MAX_RATIO) -> bool:
+    return not is_known(run) and ratio(run, vocab_path) <= max_ratio and not is_slug(run, vocab_path, max_ratio)
+
+
 def random_spans(text: str, vocab_path: str, max_ratio: float = MAX_RATIO) -> list[tuple[int, int]]:
-    return [(m.start(), m.end()) for m in CANDIDATE.finditer(text) if not is_plain(m[0]) and ratio(m[0], vocab_path) <= max_ratio]
+    return [(m.start(), m.end()) for m in CANDIDATE.finditer(text) if is_random(m[0], vocab_path, max_ratio)]
 
 
 SCHEMA = "n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_random long"
