@@ -245,6 +245,87 @@ def test_licences(spark):
     assert licenses.scan_licenses(docs(spark, [])).count() == 0
 
 
+MIT = """MIT License
+
+Copyright (c) 2020 A
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL
+"""
+BSD = """Copyright (c) 2020, A
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+"""
+BSD_NAMES = """
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+ISC = """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+"""
+APACHE = """   Licensed under the Apache License, Version 2.0 (the "License");
+   you may not use this file except in compliance with the License.
+   You may obtain a copy of the License at
+"""
+GPL = """    This program is free software{mark} you can redistribute it and/or modify
+    it under the terms of the GNU General Public License as published by
+    the Free Software Foundation{comma} either version {n} of the License, or
+    (at your option) any later version.
+
+    This program is distributed in the hope that it will be useful,
+    but WITHOUT ANY WARRANTY; without even the implied warranty of
+    MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+    GNU General Public License for more details.
+"""
+MPL = """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at"""
+NOTICES = {
+    "MIT": (MIT, "mit-permission,mit-notice,as-is"),
+    "BSD-2-Clause": (BSD, "bsd-permission,bsd-source,bsd-binary"),
+    "BSD-3-Clause,BSD-2-Clause": (BSD + BSD_NAMES, "bsd-permission,bsd-source,bsd-binary,bsd-names"),
+    "ISC": (ISC, "isc-permission"),
+    "Apache-2.0": (APACHE, "apache-full,apache-use"),
+    "GPL-3.0": (GPL.format(mark=":", comma=",", n=3), "gpl-free,gpl-hope"),
+    "GPL-2.0": (GPL.format(mark=";", comma=";", n=2), "gpl-free-2,gpl-hope"),
+    "MPL-2.0": (MPL, "mpl-2"),
+    "Unlicense": ("This is free and unencumbered software released into the public\ndomain.", "unlicense"),
+}
+
+
+def test_standard_licence_notices_wrapped_commented_and_on_one_line(spark):
+    forms = [lambda t: t, lambda t: t.replace("\n", "\r\n"), lambda t: "".join(f" * {line}\n" for line in t.split("\n")), lambda t: "".join(f"# {line}\n" for line in t.split("\n")), lambda t: " ".join(t.split()) if "Copyright" not in t else t]
+    cases = [(f(t), name, ids) for name, (t, ids) in NOTICES.items() for f in forms]
+    cases.append(("No stop before\nReleased under the MIT License\nnor behind", "MIT", "mit-released"))
+    cases.append(("Released under the\n\nMIT License", "", ""))
+    cases.append(("is not released under the\nMIT license", "", ""))
+    cases.append(("licensed. " + "!?\n. " * 50000 + "Released under the MIT License.", "MIT", "mit-released"))
+    out = {r["doc_id"]: (r["licenses"], r["sentence_ids"]) for r in licenses.scan_licenses(docs(spark, [(i, t, None) for i, (t, _, _) in enumerate(cases)])).collect()}
+    for i, (_, name, ids) in enumerate(cases):
+        assert out[i] == (name, ids), (i, cases[i][0][:80])
+
+
 def test_pipeline_keeps_columns_and_clean_documents(spark, tmp_path):
     import corpus_pipeline as p
 
