@@ -10,14 +10,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wasteflow.llm.common import materialize
-from wasteflow.llm.exact_dedup import exact_dedup
+from wasteflow.llm.common import materialize, with_row_key
+from wasteflow.llm.exact_dedup import exact_groups
 from wasteflow.llm.jaccard import jaccard_components
 from wasteflow.llm.langid import held_out, predict, train_profiles
 from wasteflow.llm.packing import pack_documents
 from wasteflow.llm.secrets import redact
 
 VOCAB = "byte_bpe_50k.json"
+ROW = "pipeline_row_key"
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,15 +28,20 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents with equal text, the one with the largest id stays."""
-    kept = exact_dedup(docs).where("kept").select(F.col("doc_id").alias("keep"))
-    return docs.join(kept.hint("merge"), F.col("doc_id").eqNullSafe(F.col("keep")), "left_semi").select(*docs.columns)
+    """Of rows with equal text, one with the largest id stays; rows may share an id or have none."""
+    keyed = with_row_key(docs, ROW, "pipeline-exact-rows")
+    kept = exact_groups(keyed, row_col=ROW).where("row_id = keep_row").select(F.col("row_id").alias("keep"))
+    return keyed.join(kept.hint("merge"), F.col(ROW) == F.col("keep"), "left_semi").select(*docs.columns)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of near-duplicates (five words, similarity 0.8), the smallest id stays; null ids stay."""
-    kept = jaccard_components(docs, width=5, percent=80).where("doc_id = component_id").select(F.col("doc_id").alias("keep"))
-    return docs.where("doc_id is not null").join(kept.hint("merge"), F.col("doc_id") == F.col("keep"), "left_semi").unionByName(docs.where("doc_id is null")).select(*docs.columns)
+    """Of each component of near-duplicate rows (five words, similarity 0.8), one with the smallest id stays, a null id last."""
+    keyed = with_row_key(docs, ROW, "pipeline-near-rows")
+    found = jaccard_components(keyed, width=5, percent=80, id_col=ROW).select(F.col("doc_id").alias("row"), "component_id")
+    ids = keyed.select(F.col(ROW).alias("row"), "doc_id")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row"))
+    kept = found.join(ids.hint("merge"), "row").groupBy("component_id").agg(first.alias("first")).select(F.col("first.row").alias("keep"))
+    return keyed.join(kept.hint("merge"), F.col(ROW) == F.col("keep"), "left_semi").select(*docs.columns)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -348,3 +348,24 @@ def test_pipeline_keeps_columns_and_clean_documents(spark, tmp_path):
     assert df.where("doc_id = 103").first()["text"].startswith("[SECRET]")
     packed = p.run(spark, str(tmp_path))
     assert {r["doc_id"] for r in packed.select("doc_id").distinct().collect()} == kept["secrets"]
+
+
+def test_dedup_stages_keep_rows_not_ids(spark):
+    import corpus_pipeline as p
+
+    long = " ".join(f"w{i}" for i in range(80))
+    other = " ".join(f"v{i}" for i in range(80))
+    third = " ".join(f"u{i}" for i in range(80))
+    rows = [(1, long, "a"), (1, long, "b"), (1, long, "a"), (2, long.upper(), "c"), (2, other, "d"), (3, other, "e"), (None, "x", "f"), (None, "x", "g"), (None, third, "h"), (None, third + " more", "i"), (4, third, "j"), (4, "last one", "k"), (9, third + " end", "l")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    exact = p.exact(spark, df, "")
+    assert exact.columns == df.columns
+    got = sorted((r["doc_id"], r["text"]) for r in exact.where("doc_id is not null").collect())
+    assert got == sorted([(2, long.upper()), (3, other), (4, third), (4, "last one"), (9, third + " end")])
+    assert sorted(r["text"] for r in exact.where("doc_id is null").collect()) == sorted(["x", third + " more"])
+    for stage_input in (exact, df):
+        near = p.near(spark, stage_input, "")
+        assert near.columns == df.columns
+        got = [(r["doc_id"], r["text"].lower()) for r in near.collect()]
+        first = 1 if stage_input is df else 2
+        assert len(got) == 5 and set(got) == {(first, long), (first + 1, other), (None, "x"), (4, third), (4, "last one")}

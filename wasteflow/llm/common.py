@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _OWN: list[str] = []
 
@@ -32,6 +33,11 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def with_row_key(df: DataFrame, column: str, name: str) -> DataFrame:
+    """df with a long that differs in all rows; written and read again, so that every use sees the same keys."""
+    return materialize(df.withColumn(column, F.monotonically_increasing_id()), name)
+
+
 def map_rows(df: DataFrame, fn: Callable[[Iterator[dict]], Iterator[dict]], schema: str) -> DataFrame:
     """mapInArrow where fn gets each batch as a dict of Python lists and yields such dicts; no batch is held longer than needed."""
     from pyspark.sql.pandas.types import to_arrow_schema

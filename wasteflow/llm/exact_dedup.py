@@ -30,15 +30,17 @@ def normalise(text: str | None) -> bytes:
     return (text or "").encode("utf-8", "surrogatepass").lower()
 
 
-def digests(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """row_id, doc_id, sha, key, entry, text_bytes: entry is the row_id of the batch's first row with that digest."""
+def digests(docs: DataFrame, id_col: str, text_col: str, row_col: str | None = None) -> DataFrame:
+    """row_id, doc_id, sha, key, entry: row_id is the one given or counted, entry that of the batch's first row with that digest."""
 
     def run(batches):
         row_id = TaskContext.get().partitionId() << 40
         for b in batches:
             first: dict[str, int] = {}
             out = {k: [] for k in ("row_id", "sha", "key", "entry")}
-            for text in b["text"]:
+            for n, text in enumerate(b["text"]):
+                if row_col:
+                    row_id = b["row_id"][n]
                 sha = hashlib.sha256(normalise(text)).hexdigest()
                 out["row_id"].append(row_id)
                 out["sha"].append(sha)
@@ -48,7 +50,8 @@ def digests(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             yield out | {"doc_id": b["doc_id"]}
 
     kind = dict(docs.dtypes)[id_col]
-    return map_rows(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), run, f"row_id long, doc_id {kind}, sha string, key long, entry long")
+    given = [F.col(row_col).alias("row_id")] if row_col else []
+    return map_rows(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), *given), run, f"row_id long, doc_id {kind}, sha string, key long, entry long")
 
 
 def slot(depth: int = MAX_DEPTH) -> F.Column:
@@ -102,13 +105,14 @@ def chain(entries: Iterator[tuple[int, bytes]]) -> dict[int, int]:
     return out
 
 
-def exact_groups(docs: DataFrame, capacity: int = 50_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def exact_groups(docs: DataFrame, capacity: int = 50_000, id_col: str = "doc_id", text_col: str = "text", row_col: str | None = None) -> DataFrame:
     """row_id, doc_id, sha, keep_id, keep_row, group_size of every row of docs, by equal normalised text.
 
-    Null ids sort before all others; of rows with the largest id the one read last stays.
+    Null ids sort before all others; of rows with the largest id the one with the largest row_id stays. row_col, if
+    given, is a long that differs in all rows, and is the row_id; otherwise rows are counted as they are read.
     """
     spark = docs.sparkSession
-    rows = materialize(digests(docs, id_col, text_col), "dedup-rows")
+    rows = materialize(digests(docs, id_col, text_col, row_col), "dedup-rows")
     entries = rows.where("entry = row_id")
     counts = {r["s"]: r["n"] for r in entries.groupBy(slot().alias("s")).agg(F.count("*").alias("n")).collect()}
     depth, slots = directory(counts, capacity)
@@ -122,17 +126,18 @@ def exact_groups(docs: DataFrame, capacity: int = 50_000, id_col: str = "doc_id"
     salt = F.pmod(F.xxhash64("entry"), F.ceil(F.col("n") / PART)).alias("salt")
     chained = index.join(shared.hint("shuffle_hash"), ["bucket", "key"]).select("bucket", "key", "entry", salt)
     owned = materialize(chained.join(entries.select("entry", "doc_id", "sha").hint("merge"), "entry"), "dedup-chained")
-    wanted = owned.select(F.col("doc_id").alias("wanted")).distinct().hint("merge")
-    source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    source = source.join(wanted, F.col("doc_id").eqNullSafe(F.col("wanted")), "left_semi")
+    by, own = ("entry", row_col) if row_col else ("doc_id", id_col)
+    wanted = owned.select(F.col(by).alias("wanted")).distinct().hint("merge")
+    source = docs.select(F.col(own).alias("id"), F.col(text_col).alias("text"))
+    source = source.join(wanted, F.col("id").eqNullSafe(F.col("wanted")), "left_semi")
 
     def fetch(batches):
         for b in batches:
             texts = list(map(normalise, b["text"]))
-            yield {"id": b["doc_id"], "digest": [hashlib.sha256(t).hexdigest() for t in texts], "bytes": texts}
+            yield {"id": b["id"], "digest": [hashlib.sha256(t).hexdigest() for t in texts], "bytes": texts}
 
-    texts = map_rows(source, fetch, f"id {dict(docs.dtypes)[id_col]}, digest string, bytes binary")
-    same = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("sha") == F.col("digest"))
+    texts = map_rows(source, fetch, f"id {dict(docs.dtypes)[own]}, digest string, bytes binary")
+    same = F.col(by).eqNullSafe(F.col("id")) & (F.col("sha") == F.col("digest"))
 
     def compare(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("entry")
