@@ -98,6 +98,32 @@ def test_upsert_policies_and_idempotence(spark):
     assert sorted((r["k"], r["v"]) for r in again.collect()) == [(1, "a"), (2, "c"), (3, "d")]
 
 
+@pytest.mark.parametrize("threshold, inclusive", [(85, False), (85, True), (70, True), (50, False)])
+def test_fuzzy_join_loses_no_pair(spark, threshold, inclusive):
+    import random
+
+    rng = random.Random(threshold)
+    base = ["siemens", "abc", "ab cd ef", "aaaaaaaa", "", " ", "x", "zinc works ab", "Ärzte bund", "a b c d e f g"]
+
+    def changed(t):
+        for _ in range(rng.randint(1, 3)):
+            i = rng.randint(0, len(t))
+            t = t[:i] + rng.choice(["", "a", "b", " ", "x"]) + t[i + rng.randint(0, 1) :]
+        return t
+
+    names = {"sietens", *(changed(rng.choice(base)) for _ in range(80))}
+    refs = {*base, *(changed(rng.choice(base)) for _ in range(40))}
+    want = {}
+    for n in names:
+        found = sorted((-100.0 if r == n else -N.token_sort_ratio(n, r), r != n, r) for r in refs if r == n or (N.token_sort_ratio(n, r) >= threshold if inclusive else N.token_sort_ratio(n, r) > threshold))
+        if found:
+            want[n] = (n, 100.0) if n in refs else (found[0][2], -found[0][0])
+    left, right = (spark.createDataFrame([(x,) for x in v], f"{c} string") for v, c in ((names, "n"), (refs, "r")))
+    out = N.fuzzy_join(left, right, "n", "r", threshold, inclusive).collect()
+    assert len(out) == len(want) and {r["name"]: (r["match"], r["score"]) for r in out} == want
+    assert "sietens" in want
+
+
 def test_fuzzy_names(spark):
     left = spark.createDataFrame([("steel works acme",), ("Acme Steel",), ("nothing like",), (None,)], "n string")
     right = spark.createDataFrame([("acme steel works",), ("Acme Steel",)], "r string")

@@ -136,28 +136,48 @@ def token_sort_ratio(a: str, b: str) -> float:
     return indel_ratio(" ".join(sorted(a.split())), " ".join(sorted(b.split())))
 
 
+def sorted_words(name: str) -> str:
+    return " ".join(sorted(name.split()))
+
+
 def fuzzy_join(left: DataFrame, right: DataFrame, name: str, ref: str, threshold: float = 85, inclusive: bool = False) -> DataFrame:
     """Best token-sort match of each distinct name of left among right's: exact first, else the best ratio over threshold.
 
-    name, match, score (0 to 100). Candidates share a three-character piece of a word, so the pairs are those of an
-    equi join; ties go to the smaller match. A pair over 85 of names with a word always shares such a piece unless all
-    its words have fewer characters, which are taken whole.
+    name, match, score (0 to 100); ties go to the smaller match. No pair over the threshold is lost: a ratio of t allows
+    d = (1 - t) * (a + b) edits of sorted words of a and b characters. With a space at both ends they have a + 1 and b + 1
+    pairs of neighbouring characters; a deletion destroys at most two and an insertion one, so that at least
+    a + 1 - 1.5 * d - (a - b) / 2 are shared, repeated ones counted, and as many from b's side. Over two thirds that is more
+    than none, and an equi join on the pairs finds all; else all names of fitting lengths are compared.
     """
     names = left.select(F.col(name).alias("name")).where("name is not null").distinct()
     refs = right.select(F.col(ref).alias("match")).where("match is not null").distinct()
     exact = names.join(refs, F.col("name") == F.col("match")).select("name", "match", F.lit(100.0).alias("score"))
-    words = lambda c: F.filter(F.split(F.lower(c), r"\s+"), lambda w: w != "")
-    pieces = lambda c: F.array_distinct(F.flatten(F.transform(words(c), lambda w: F.when(F.length(w) < 3, F.array(w)).otherwise(F.transform(F.sequence(F.lit(1), F.length(w) - 2), lambda i: F.substr(w, i, F.lit(3)))))))
-    l = names.join(exact, "name", "left_anti").select("name", F.explode(pieces(F.col("name"))).alias("piece"))
-    r = refs.select("match", F.explode(pieces(F.col("match"))).alias("piece"))
-    need = F.least(F.size(pieces(F.col("name"))), F.size(pieces(F.col("match")))) * (threshold / 100 - 0.35)
-    pairs = l.join(r.hint("merge"), "piece").groupBy("name", "match").agg(F.count("*").alias("n")).where(F.col("n") >= need).select("name", "match")
+
+    @F.pandas_udf("string")
+    def in_order(a: pd.Series) -> pd.Series:
+        return a.map(sorted_words)
 
     @F.pandas_udf("double")
     def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([token_sort_ratio(x, y) for x, y in zip(a, b)])
-
-    scored = pairs.withColumn("score", ratio("name", "match"))
+        return pd.Series([indel_ratio(x, y) for x, y in zip(a, b)])
+
+    l = names.join(exact, "name", "left_anti").select("name", in_order("name").alias("x")).withColumn("a", F.length("x"))
+    r = refs.select("match", in_order("match").alias("y")).withColumn("b", F.length("y"))
+    fits = F.expr(f"200 * least(a, b) >= {threshold} * (a + b) - 1e-6")
+    if threshold > 200 / 3:
+        d = F.floor((1 - threshold / 100) * (F.col("a") + F.col("b")) + 1e-9)
+        need = F.greatest("a", "b") + 1 - 1.5 * d - F.abs(F.col("a") - F.col("b")) / 2
+
+        def pieces(df, key, text, size, n):
+            padded = F.concat(F.lit(" "), text, F.lit(" "))
+            each = F.transform(F.sequence(F.lit(1), F.length(padded) - 1), lambda i: F.substr(padded, i, F.lit(2)))
+            return df.select(key, text, size, F.explode(each).alias("piece")).groupBy(key, text, size, "piece").agg(F.count("*").alias(n))
+
+        both = pieces(l, "name", "x", "a", "n").join(pieces(r, "match", "y", "b", "m").hint("merge"), "piece").where(fits)
+        pairs = both.groupBy("name", "match", "x", "y", "a", "b").agg(F.sum(F.least("n", "m")).alias("shared")).where(F.col("shared") >= need)
+    else:
+        pairs = l.join(r, fits)
+    scored = pairs.select("name", "match", ratio("x", "y").alias("score"))
     scored = scored.where(F.col("score") >= threshold if inclusive else F.col("score") > threshold)
     best = scored.groupBy("name").agg(F.min(F.struct(-F.col("score"), F.col("match"))).alias("best"))
     return exact.unionByName(best.select("name", F.col("best.match").alias("match"), (-F.col("best.col1")).alias("score")))
