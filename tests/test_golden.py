@@ -183,3 +183,17 @@ def test_empty_tables(spark):
 def test_schema_report(spark):
     df = spark.createDataFrame([(1, "a")], "a int, b string")
     assert sorted(map(tuple, A.schema_report(df, ["b"]).collect())) == [("a", "int", False), ("b", "string", True)]
+
+
+def test_chunks_and_years_reach_the_end_of_the_text(spark):
+    from wasteflow.operators import vectors as V
+
+    texts = {1: "a" * 49, 2: "b" * 50, 3: "cd" * 4000, 4: "ef" * 10000 + "é", 5: None, 6: ""}
+    df = spark.createDataFrame(list(texts.items()), "id int, text string")
+    out = {}
+    for r in V.chunk_for_embedding(df, "text").orderBy("id", "chunk_index").collect():
+        out.setdefault(r["id"], []).append(r["chunk"])
+    assert {i: list(map(len, c)) for i, c in out.items()} == {2: [50], 3: [8000], 4: [8000, 8000, 4001]}
+    assert all("".join(c) == texts[i] for i, c in out.items())
+    late = spark.createDataFrame([("report.pdf", "in 2011 " + "x" * 3000 + " 2017 end")], "name string, text string")
+    assert late.select(S.year_from_name(F.col("name"), F.col("text")).alias("y")).first()["y"] == 2017

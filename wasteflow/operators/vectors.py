@@ -37,5 +37,7 @@ def search_filtered(vectors: DataFrame, queries: DataFrame, k: int, where: str)
 
 
 def chunk_for_embedding(df: DataFrame, text: str, size: int = 8000, least: int = 50) -> DataFrame:
-    """First `size` characters of texts with at least `least`."""
-    return df.where(F.length(text) >= least).withColumn("chunk", F.substring(text, 1, size))
+    """Consecutive chunks of `size` characters, the last one shorter, of texts with at least `least`; chunk_index from 0."""
+    starts = F.sequence(F.lit(0), F.floor((F.length(text) - 1) / size).cast("int"))
+    cut = df.where(F.length(text) >= F.lit(max(least, 1))).withColumn("chunk_index", F.explode(starts))
+    return cut.withColumn("chunk", F.substr(F.col(text), F.col("chunk_index") * size + 1, F.lit(size)))

@@ -156,4 +156,5 @@ def _(t):
 
 @query("l4_chunk_for_embedding", "SELECT doc_id, substr(text, 1, 8000) AS chunk FROM {documents} WHERE length(text) >= 50")
 def _(t):
-    return V.chunk_for_embedding(t.documents, "text").select("doc_id", "chunk")
+    # The SQL asks for the first chunk only; the operator gives all.
+    return V.chunk_for_embedding(t.documents, "text").where("chunk_index = 0").select("doc_id", "chunk")

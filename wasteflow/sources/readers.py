@@ -127,8 +127,8 @@ def harvest_links(pages: DataFrame, html: str, url: str, suffix: str = "") -> Da
 
 
 def year_from_name(name: Column, text: Column) -> Column:
-    """20[0-2]x in the name, else the last one in the first 2000 characters of the text."""
-    inside = F.regexp_extract_all(F.substring(text, 1, 2000), F.lit(r"(20[0-2]\d)"), 1)
+    """20[0-2]x in the name, else the last one in the whole text."""
+    inside = F.regexp_extract_all(text, F.lit(r"(20[0-2]\d)"), 1)
     return F.coalesce(F.regexp_extract(name, r"(20[0-2]\d)", 1).try_cast("int"), F.try_element_at(inside, F.lit(-1)).try_cast("int"))
 
 
