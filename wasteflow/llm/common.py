@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+SLICE_BYTES = 16 << 20
 _OWN: list[str] = []
 
 
@@ -30,7 +31,17 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_to = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes what materialize wrote. Only for tables that no later job reads, recomputation after a lost executor included."""
+    for t in tables:
+        spark = t.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(t.written_to)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def with_row_key(df: DataFrame, column: str, name: str) -> DataFrame:
@@ -39,14 +50,24 @@ def with_row_key(df: DataFrame, column: str, name: str) -> DataFrame:
 
 
 def map_rows(df: DataFrame, fn: Callable[[Iterator[dict]], Iterator[dict]], schema: str) -> DataFrame:
-    """mapInArrow where fn gets each batch as a dict of Python lists and yields such dicts; no batch is held longer than needed."""
+    """mapInArrow where fn gets each batch as a dict of Python lists and yields such dicts.
+
+    Large batches come in slices, so that few texts are Python objects at once, however long they are.
+    """
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import _parse_datatype_string
 
     arrow = to_arrow_schema(_parse_datatype_string(schema))
 
+    def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        for b in batches:
+            step = max(1, b.num_rows * SLICE_BYTES // max(b.nbytes, 1))
+            for at in range(0, b.num_rows, step):
+                part = b.slice(at, step)
+                yield {n: c.to_pylist() for n, c in zip(part.schema.names, part.columns)}
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for out in fn({n: c.to_pylist() for n, c in zip(b.schema.names, b.columns)} for b in batches):
+        for out in fn(slices(batches)):
             yield pa.RecordBatch.from_arrays([pa.array(out[f.name], type=f.type) for f in arrow], schema=arrow)
 
     return df.mapInArrow(run, schema)
