@@ -68,12 +68,12 @@ QUERIES = {f.__name__: f for f in (op1_topk, op2_pack, op3_extract, op4_langid,
 # Queries whose rows SQL can express.
 ORACLE_SQL = {
     "op1_topk": """
-        WITH e AS (SELECT vec_id, list_transform(embedding, lambda v: CAST(floor(256 * CAST(v AS DOUBLE)) AS BIGINT)) AS x FROM embeddings
+        WITH e AS MATERIALIZED (SELECT row_number() OVER () AS n, vec_id, list_transform(embedding, lambda v: CAST(floor(256 * CAST(v AS DOUBLE)) AS BIGINT)) AS x FROM embeddings
                    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda v: v IS NULL OR isnan(v) OR isinf(v))) = 0),
-        s AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_sum(list_transform(list_zip(q.x, c.x), lambda p: p[1] * p[2])) AS BIGINT) AS score
-              FROM e q JOIN e c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id)
+        s AS (SELECT q.n, q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_sum(list_transform(list_zip(q.x, c.x), lambda p: p[1] * p[2])) AS BIGINT) AS score
+              FROM e q JOIN e c ON q.vec_id % 50 = 0 AND q.n <> c.n AND len(q.x) = len(c.x))
         SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
-        FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5""",
+        FROM (SELECT *, row_number() OVER (PARTITION BY n ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5""",
     "op10_licenses": oracle(),
     "op9_exact_dedup": """
         WITH t AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS x FROM documents)
