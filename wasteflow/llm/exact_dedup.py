@@ -120,11 +120,11 @@ def exact_groups(docs: DataFrame, capacity: int = 50_000, id_col: str = "doc_id"
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     index = materialize(entries.select(bucket.alias("bucket"), "key", "entry").repartition(n, "bucket").sortWithinPartitions("bucket", "key"), "dedup-index")
 
-    # Chains: only entries that share a key with another one need their bytes. A long chain is first compared in
-    # parts of about PART entries, then the parts' leaders with each other.
+    # Chains: only entries that share a key with another one need their bytes. A long chain is compared in lots of
+    # about PART entries, then the lots' leaders in the same way, until one lot is left.
     shared = index.groupBy("bucket", "key").agg(F.count("*").alias("n")).where("n > 1")
-    salt = F.pmod(F.xxhash64("entry"), F.ceil(F.col("n") / PART)).alias("salt")
-    chained = index.join(shared.hint("shuffle_hash"), ["bucket", "key"]).select("bucket", "key", "entry", salt)
+    lots = F.ceil(F.col("n") / PART).cast("long").alias("lots")
+    chained = index.join(shared.hint("shuffle_hash"), ["bucket", "key"]).select("bucket", "key", "entry", lots)
     owned = materialize(chained.join(entries.select("entry", "doc_id", "sha").hint("merge"), "entry"), "dedup-chained")
     by, own = ("entry", row_col) if row_col else ("doc_id", id_col)
     wanted = owned.select(F.col(by).alias("wanted")).distinct().hint("merge")
@@ -137,20 +137,29 @@ def exact_groups(docs: DataFrame, capacity: int = 50_000, id_col: str = "doc_id"
             yield {"id": b["id"], "digest": [hashlib.sha256(t).hexdigest() for t in texts], "bytes": texts}
 
     texts = map_rows(source, fetch, f"id {dict(docs.dtypes)[own]}, digest string, bytes binary")
+    if not row_col:
+        texts = texts.dropDuplicates(["id", "digest"])  # rows repeated under one id
     same = F.col(by).eqNullSafe(F.col("id")) & (F.col("sha") == F.col("digest"))
 
     def compare(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("entry")
         found = chain(zip(frame["entry"], frame["bytes"]))
         held = dict(zip(frame["entry"], frame["bytes"]))
-        return pd.DataFrame({"bucket": frame["bucket"].iloc[0], "key": frame["key"].iloc[0], "entry": list(found), "leader": list(found.values()), "bytes": [held[e] if e == to else None for e, to in found.items()]})
-
-    schema = "bucket int, key long, entry long, leader long, bytes binary"
-    parts = owned.join(texts.hint("merge"), same).groupBy("bucket", "key", "salt").applyInPandas(compare, schema)
-    parts = materialize(parts, "dedup-parts")
-    whole = parts.where("entry = leader").groupBy("bucket", "key").applyInPandas(compare, schema)
-    whole = whole.select(F.col("entry").alias("leader"), F.col("leader").alias("last"))
-    leaders = parts.join(whole.hint("merge"), "leader").select("entry", F.col("last").alias("leader"))
+        first = {c: frame[c].iloc[0] for c in ("bucket", "key", "lots")}
+        return pd.DataFrame(first | {"entry": list(found), "leader": list(found.values()), "bytes": [held[e] if e == to else None for e, to in found.items()]})
+
+    schema = "bucket int, key long, lots long, entry long, leader long, bytes binary"
+
+    def compared(entries: DataFrame) -> DataFrame:
+        salted = entries.withColumn("salt", F.pmod(F.xxhash64("entry", "lots"), F.col("lots")))
+        return materialize(salted.groupBy("bucket", "key", "salt").applyInPandas(compare, schema), "dedup-lots")
+
+    found = compared(owned.join(texts.hint("merge"), same))
+    leaders = found.select("entry", "leader")
+    while not (split := found.where("lots > 1 and entry = leader")).isEmpty():
+        found = compared(split.withColumn("lots", F.ceil(F.col("lots") / PART).cast("long")))
+        higher = found.select(F.col("entry").alias("leader"), F.col("leader").alias("last"))
+        leaders = leaders.join(higher.hint("merge"), "leader", "left").select("entry", F.coalesce("last", "leader").alias("leader"))
     return classes(rows, leaders)
 
 
