@@ -10,6 +10,7 @@ is cut at powers of two, which need no padding.
 from __future__ import annotations
 
 import functools
+import re
 import zlib
 from collections import defaultdict
 
@@ -23,6 +24,8 @@ from .bpe import SPLIT, codec
 from .common import map_rows
 
 OPEN_WINDOWS = 4096
+LONG_WHITE = 10_000
+WHITE = re.compile(rf"\s{{{LONG_WHITE}}}")
 
 
 @functools.lru_cache(2)
@@ -35,8 +38,11 @@ def encoder(vocab_path: str) -> tiktoken.Encoding:
     return tiktoken.Encoding("vocabulary", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens=c.special)
 
 
-def tokens(enc: tiktoken.Encoding, text: str) -> np.ndarray:
-    return enc.encode_to_numpy(text, allowed_special="all")
+def tokens(vocab_path: str, text: str) -> np.ndarray:
+    """Ids of the whole text. The fast encoder's pattern can't pass very long white space; such texts take the codec of operator 6."""
+    if len(text) > LONG_WHITE and WHITE.search(text):
+        return codec(vocab_path).encode(text)
+    return encoder(vocab_path).encode_to_numpy(text, allowed_special="all")
 
 
 class Packer:
@@ -137,7 +143,7 @@ def pack_documents(docs: DataFrame, vocab_path: str, size: int = 1024, end_id: i
 
     def run(batches):
         part = TaskContext.get().partitionId()
-        packer, enc = Packer(size, part << 40), encoder(vocab_path)
+        packer = Packer(size, part << 40)
 
         def rows():
             out = dict(zip(PIECE, map(list, zip(*packer.rows))))
@@ -146,7 +152,7 @@ def pack_documents(docs: DataFrame, vocab_path: str, size: int = 1024, end_id: i
 
         for b in batches:
             for doc_id, text in zip(b["doc_id"], b["text"]):
-                packer.add(doc_id, np.append(tokens(enc, text or ""), np.uint32(end_id)))
+                packer.add(doc_id, np.append(tokens(vocab_path, text or ""), np.uint32(end_id)))
                 if len(packer.rows) >= 4096:
                     yield rows()
         packer.join_open(last=True)

@@ -30,6 +30,7 @@ UUID = re.compile(r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
 NUMBERS = re.compile(r"[0-9_=/+-]+")
 SEPARATORS = re.compile(r"[_=/+-]+")
 MAX_RATIO = 2.2
+CACHED = 256
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -41,10 +42,15 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 @functools.lru_cache(1 << 16)
-def ratio(run: str, vocab_path: str) -> float:
+def cached_ratio(run: str, vocab_path: str) -> float:
     return len(run) / len(encoder(vocab_path).encode_ordinary(run))
 
 
+def ratio(run: str, vocab_path: str) -> float:
+    """Characters per token; only short runs, which repeat, are remembered."""
+    return cached_ratio(run, vocab_path) if len(run) <= CACHED else cached_ratio.__wrapped__(run, vocab_path)
+
+
 def is_known(run: str) -> bool:
     """A digest, a UUID or a number."""
     return bool(DIGEST.fullmatch(run) or UUID.fullmatch(run) or NUMBERS.fullmatch(run))
