@@ -3,6 +3,7 @@
 import hashlib
 import math
 import random
+import time
 import zlib
 from collections import Counter
 
@@ -66,6 +67,20 @@ def test_packing_covers_every_id_once(spark):
     assert packing.pack_documents(docs(spark, []), VOCAB).count() == 0
 
 
+def test_very_long_white_space_and_runs(spark):
+    t = Tokenizer.from_file(VOCAB)
+    long = [" " * 2_000_000, "a" + "\n " * 300_000 + "b", "é\u2003" * 20_000 + "\u2003" * 50_000 + "x", "a" * 100_000 + "+", "Ab3/" * 100_000, "-" * 300_000]
+    rows = [(i, x, None) for i, x in enumerate(long)]
+    began = time.time()
+    out = packing.pack_documents(docs(spark, rows).coalesce(1), VOCAB).collect()
+    for i, x, _ in rows:
+        ids = np.array([*t.encode(x, add_special_tokens=False).ids, 0], "<u4")
+        own = sorted((r["start"], r["length"], r["ids_crc32"]) for r in out if r["doc_id"] == i)
+        assert sum(n for _, n, _ in own) == len(ids) and all(c == zlib.crc32(ids[a : a + n].tobytes()) for a, n, c in own)
+    assert len(secrets.find_secrets(docs(spark, rows), VOCAB).collect()) == len(rows)
+    assert time.time() - began < 60
+
+
 def test_packer_minimises_the_sum_of_squares():
     p = packing.Packer(16, 0)
     rng = random.Random(1)
@@ -156,6 +171,17 @@ def test_exact_dedup(spark):
     assert exact_dedup.exact_dedup(docs(spark, [])).count() == 0
 
 
+def test_long_chains_are_compared_in_lots(spark, monkeypatch):
+    monkeypatch.setattr(exact_dedup, "PART", 2)
+    rows = [(i % 40, f"Text {i % 3}", None) for i in range(300)]
+    df = docs(spark, rows).repartition(40)  # a task is a batch, so that many entries share a key
+    out = exact_dedup.exact_dedup(df, capacity=4).collect()
+    groups = {f"text {k}": [i for i, t, _ in rows if t.endswith(str(k))] for k in range(3)}
+    want = Counter((i, max(g), len(g), hashlib.sha256(k.encode()).hexdigest()) for k, g in groups.items() for i in g)
+    assert Counter((r["doc_id"], r["keep_id"], r["group_size"], r["text_sha256"]) for r in out) == want
+    assert sum(r["kept"] for r in out) == 3
+
+
 def test_directory_doubles_and_chains_compare_bytes():
     depth, slots = exact_dedup.directory({0: 5, 1: 5, 7: 100}, 10, 3)
     assert depth == 3 and len(slots) == 8 and len(set(slots)) == 4
@@ -175,21 +201,46 @@ def test_components(spark):
 
 
 @pytest.mark.parametrize("dim", [0, 3])
-def test_top_k_with_ties(spark, dim):
+@pytest.mark.parametrize("block_rows", [16, 4096])
+def test_top_k_with_ties(spark, dim, block_rows, monkeypatch):
+    monkeypatch.setattr(topk, "BLOCK_ROWS", block_rows)
+    monkeypatch.setattr(topk, "RING", 8)
     rng = random.Random(dim)
     rows = [(i, [float(rng.randint(-2, 2)) / 4 for _ in range(dim)], "a") for i in range(160)]
-    rows += [(400, None, "b"), (401, [1.0, None, 1.0], "c"), (402, [1.0, float("nan"), 0.0], "d"), (450, [float("inf"), 0.0, 0.0], "e"), (None, [0.0] * dim, "f"), rows[7]]
+    rows += [(400, None, "b"), (401, [1.0, None, 1.0], "c"), (402, [1.0, float("nan"), 0.0], "d"), (450, [float("inf"), 0.0, 0.0], "e"), (None, [0.0] * dim, "f"), rows[7], rows[50], (50, rows[8][1], "g")]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, rank string")
     out = topk.exact_top_k(df).collect()
-    good = {i: [math.floor(256 * v) for v in x] for i, x, _ in rows if i is not None and i < 400}
-    want = set()
-    for q in (i for i in good if i % 50 == 0):
-        best = sorted((-sum(a * b for a, b in zip(good[q], x)), i) for i, x in good.items() if i != q)[:5]
-        want |= {(q, n + 1, i, -s) for n, (s, i) in enumerate(best)}
-    assert {(r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in out} == want
+    good = [(i, [math.floor(256 * v) for v in x]) for i, x, _ in rows if i is not None and i < 400]
+    want = Counter()
+    for n, (q, y) in enumerate(good):
+        if q % 50 == 0:
+            best = sorted((-sum(a * b for a, b in zip(y, x)), i) for m, (i, x) in enumerate(good) if m != n)[:5]
+            want.update((q, r + 1, i, -s) for r, (s, i) in enumerate(best))
+    assert Counter((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in out) == want
     assert topk.exact_top_k(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
 
 
+def test_top_k_of_large_and_clustered_vectors(spark):
+    rng = random.Random(7)
+    rows = [(0, [1.0, 1.0]), (51, [3e5, 0.0]), (52, [4e5, 0.0]), (53, [4e7, 2e7]), (100, [3e6, -1e6])]
+    out = [(r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in topk.exact_top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()]
+    whole = {i: [math.floor(256 * v) for v in x] for i, x in rows}
+    want = [(q, n + 1, i, -s) for q in (0, 100) for n, (s, i) in enumerate(sorted((-sum(a * b for a, b in zip(whole[q], x)), i) for i, x in whole.items() if i != q))]
+    assert sorted(out) == sorted(want) and (0, 3, 52, 26214400000) in out
+    centres = [[rng.gauss(0, 10) for _ in range(8)] for _ in range(6)]
+    rows = [(i, [c + rng.gauss(0, 0.05) for c in centres[i % 6]]) for i in range(3000)]
+    out = topk.exact_top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), k=7).collect()
+    x = np.floor(256 * np.array([v for _, v in rows])).astype(np.int64)
+    got = {(r["query_id"], r["rank"]): (r["vec_id"], r["score"]) for r in out}
+    for q in range(0, 3000, 50):
+        s = x @ x[q]
+        s[q] = -(1 << 62)
+        best = np.lexsort((np.arange(3000), -s))[:7]
+        assert [got[q, n + 1] for n in range(7)] == [(int(i), int(s[i])) for i in best]
+    with pytest.raises(Exception, match="leaves a long"):
+        topk.exact_top_k(spark.createDataFrame([(0, [1e300]), (1, [1e300])], "vec_id long, embedding array<double>")).count()
+
+
 PAGE = "<html><head><title>T {i}</title><script>x</script></head><body><nav><a href=/>Home</a></nav><div class='ad'>Buy</div><div class=cookie-notice>ok</div><article><h1>Head {i}</h1><p>One &amp; {i}\n two<p>Three<b>four{i}</b><p>Read us daily<div class='share'>Tweet</div><section id=comments>Nice</section></article><aside>Side</aside><footer>&copy; h</footer></body></html>"
 
 
@@ -326,6 +377,25 @@ def test_standard_licence_notices_wrapped_commented_and_on_one_line(spark):
         assert out[i] == (name, ids), (i, cases[i][0][:80])
 
 
+def test_every_known_sentence_is_found_and_has_a_rule(spark):
+    rows = [(n, f"Before.\n{text}.\nAfter", None) for n, text in enumerate(licenses.SENTENCES.values())]
+    out = {r["doc_id"]: (r["sentence_ids"], r["licenses"]) for r in licenses.scan_licenses(docs(spark, rows)).collect()}
+    assert [out[n][0] for n in range(len(rows))] == list(licenses.SENTENCES)
+    used = {part for _, parts in licenses.RULES for part in parts}
+    assert used == set(licenses.SENTENCES) and len(set(licenses.SENTENCES.values())) == len(licenses.SENTENCES)
+    notices = {
+        "// SPDX-License-Identifier: GPL-2.0-or-later\nint x;": "GPL-2.0",
+        "/* SPDX-License-Identifier: Apache-2.0 */": "Apache-2.0",
+        "This project is licensed under the MIT License.": "MIT",
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.": "CC-BY-SA-4.0",
+        "Distributed under the Boost Software License, Version 1.0.": "BSL-1.0",
+        "This library is free software; you can redistribute it and/or\nmodify it under the terms of the GNU Lesser General Public\nLicense as published by the Free Software Foundation; either\nversion 2.1 of the License, or (at your option) any later version.": "LGPL-2.1",
+        "We like the MIT License more than others": "",
+    }
+    out = {r["doc_id"]: r["licenses"] for r in licenses.scan_licenses(docs(spark, [(n, t, None) for n, t in enumerate(notices)])).collect()}
+    assert [out[n] for n in range(len(notices))] == list(notices.values())
+
+
 def test_pipeline_keeps_columns_and_clean_documents(spark, tmp_path):
     import corpus_pipeline as p
 

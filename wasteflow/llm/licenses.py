@@ -46,6 +46,70 @@ SENTENCES = {
     "cc-by": "licensed under cc by 4",
     "cc-by-dotted": "licensed under cc by 4 0",
     "cc0": "licensed under cc0 1",
+    "mit-project": "this project is licensed under the mit license",
+    "mit-software": "this software is licensed under the mit license",
+    "mit-terms": "this project is licensed under the terms of the mit license",
+    "mit-spdx": "spdx license identifier mit",
+    "isc-title": "isc license",
+    "isc-permission-and": "permission to use copy modify and distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies",
+    "isc-spdx": "spdx license identifier isc",
+    "0bsd-permission": "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted",
+    "0bsd-spdx": "spdx license identifier 0bsd",
+    "bsd-names-author": "neither the name of the author nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission",
+    "bsd-3-title": "bsd 3 clause license",
+    "bsd-3-spdx": "spdx license identifier bsd 3 clause",
+    "bsd-2-title": "bsd 2 clause license",
+    "bsd-2-spdx": "spdx license identifier bsd 2 clause",
+    "apache-project": "this project is licensed under the apache license 2 0",
+    "apache-title": "apache license version 2 0 january 2004",
+    "apache-spdx": "spdx license identifier apache 2 0",
+    "gpl-3-title": "gnu general public license version 3 29 june 2007",
+    "gpl-3-spdx-only": "spdx license identifier gpl 3 0 only",
+    "gpl-3-spdx-later": "spdx license identifier gpl 3 0 or later",
+    "gpl-3-spdx": "spdx license identifier gpl 3 0",
+    "gpl-2-title": "gnu general public license version 2 june 1991",
+    "gpl-2-only": "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license version 2 as published by the free software foundation",
+    "gpl-2-spdx-only": "spdx license identifier gpl 2 0 only",
+    "gpl-2-spdx-later": "spdx license identifier gpl 2 0 or later",
+    "gpl-2-spdx": "spdx license identifier gpl 2 0",
+    "agpl-free": "this program is free software you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation either version 3 of the license or at your option any later version",
+    "agpl-title": "gnu affero general public license version 3 19 november 2007",
+    "agpl-spdx-only": "spdx license identifier agpl 3 0 only",
+    "agpl-spdx-later": "spdx license identifier agpl 3 0 or later",
+    "lgpl-free-3": "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 3 of the license or at your option any later version",
+    "lgpl-3-title": "gnu lesser general public license version 3 29 june 2007",
+    "lgpl-3-spdx-only": "spdx license identifier lgpl 3 0 only",
+    "lgpl-3-spdx-later": "spdx license identifier lgpl 3 0 or later",
+    "lgpl-free-2-1": "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 2 1 of the license or at your option any later version",
+    "lgpl-2-1-title": "gnu lesser general public license version 2 1 february 1999",
+    "lgpl-2-1-spdx-only": "spdx license identifier lgpl 2 1 only",
+    "lgpl-2-1-spdx-later": "spdx license identifier lgpl 2 1 or later",
+    "mpl-2-title": "mozilla public license version 2 0",
+    "mpl-2-spdx": "spdx license identifier mpl 2 0",
+    "epl-2-terms": "this program and the accompanying materials are made available under the terms of the eclipse public license 2 0 which is available at https www eclipse org legal epl 2 0",
+    "epl-2-title": "eclipse public license v 2 0",
+    "epl-2-spdx": "spdx license identifier epl 2 0",
+    "unlicense-title": "the unlicense",
+    "unlicense-spdx": "spdx license identifier unlicense",
+    "zlib-permission": "permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely subject to the following restrictions",
+    "zlib-as-is": "this software is provided as is without any express or implied warranty",
+    "zlib-spdx": "spdx license identifier zlib",
+    "bsl-distributed": "distributed under the boost software license version 1 0",
+    "bsl-title": "boost software license version 1 0 august 17th 2003",
+    "bsl-spdx": "spdx license identifier bsl 1 0",
+    "wtfpl-copies": "everyone is permitted to copy and distribute verbatim or modified copies of this license document and changing it is allowed as long as the name is changed",
+    "artistic-2-title": "the artistic license 2 0",
+    "artistic-2-spdx": "spdx license identifier artistic 2 0",
+    "eupl-licensed": "licensed under the eupl",
+    "eupl-title": "european union public licence v 1 2",
+    "eupl-spdx": "spdx license identifier eupl 1 2",
+    "cc-by-nc-work": "this work is licensed under a creative commons attribution noncommercial 4 0 international license",
+    "cc-by-sa-work": "this work is licensed under a creative commons attribution sharealike 4 0 international license",
+    "cc-by-work": "this work is licensed under a creative commons attribution 4 0 international license",
+    "cc-by-spdx": "spdx license identifier cc by 4 0",
+    "cc-by-sa-spdx": "spdx license identifier cc by sa 4 0",
+    "cc0-title": "cc0 1 0 universal",
+    "cc0-spdx": "spdx license identifier cc0 1 0",
 }
 
 # Rules in order; each licence with the identifiers that must follow one another in the sequence.
@@ -81,6 +145,70 @@ RULES = (
     ("CC-BY-4.0", ("cc-by",)),
     ("CC-BY-4.0", ("cc-by-dotted",)),
     ("CC0-1.0", ("cc0",)),
+    ("MIT", ("mit-project",)),
+    ("MIT", ("mit-software",)),
+    ("MIT", ("mit-terms",)),
+    ("MIT", ("mit-spdx",)),
+    ("ISC", ("isc-title",)),
+    ("ISC", ("isc-permission-and",)),
+    ("ISC", ("isc-spdx",)),
+    ("0BSD", ("0bsd-permission",)),
+    ("0BSD", ("0bsd-spdx",)),
+    ("BSD-3-Clause", ("bsd-permission", "bsd-source", "bsd-binary", "bsd-names-author")),
+    ("BSD-3-Clause", ("bsd-3-title",)),
+    ("BSD-3-Clause", ("bsd-3-spdx",)),
+    ("BSD-2-Clause", ("bsd-2-title",)),
+    ("BSD-2-Clause", ("bsd-2-spdx",)),
+    ("Apache-2.0", ("apache-project",)),
+    ("Apache-2.0", ("apache-title",)),
+    ("Apache-2.0", ("apache-spdx",)),
+    ("GPL-3.0", ("gpl-3-title",)),
+    ("GPL-3.0", ("gpl-3-spdx-only",)),
+    ("GPL-3.0", ("gpl-3-spdx-later",)),
+    ("GPL-3.0", ("gpl-3-spdx",)),
+    ("GPL-2.0", ("gpl-2-title",)),
+    ("GPL-2.0", ("gpl-2-only",)),
+    ("GPL-2.0", ("gpl-2-spdx-only",)),
+    ("GPL-2.0", ("gpl-2-spdx-later",)),
+    ("GPL-2.0", ("gpl-2-spdx",)),
+    ("AGPL-3.0", ("agpl-free",)),
+    ("AGPL-3.0", ("agpl-title",)),
+    ("AGPL-3.0", ("agpl-spdx-only",)),
+    ("AGPL-3.0", ("agpl-spdx-later",)),
+    ("LGPL-3.0", ("lgpl-free-3",)),
+    ("LGPL-3.0", ("lgpl-3-title",)),
+    ("LGPL-3.0", ("lgpl-3-spdx-only",)),
+    ("LGPL-3.0", ("lgpl-3-spdx-later",)),
+    ("LGPL-2.1", ("lgpl-free-2-1",)),
+    ("LGPL-2.1", ("lgpl-2-1-title",)),
+    ("LGPL-2.1", ("lgpl-2-1-spdx-only",)),
+    ("LGPL-2.1", ("lgpl-2-1-spdx-later",)),
+    ("MPL-2.0", ("mpl-2-title",)),
+    ("MPL-2.0", ("mpl-2-spdx",)),
+    ("EPL-2.0", ("epl-2-terms",)),
+    ("EPL-2.0", ("epl-2-title",)),
+    ("EPL-2.0", ("epl-2-spdx",)),
+    ("Unlicense", ("unlicense-title",)),
+    ("Unlicense", ("unlicense-spdx",)),
+    ("Zlib", ("zlib-as-is", "zlib-permission")),
+    ("Zlib", ("zlib-permission",)),
+    ("Zlib", ("zlib-spdx",)),
+    ("BSL-1.0", ("bsl-distributed",)),
+    ("BSL-1.0", ("bsl-title",)),
+    ("BSL-1.0", ("bsl-spdx",)),
+    ("WTFPL", ("wtfpl-copies",)),
+    ("Artistic-2.0", ("artistic-2-title",)),
+    ("Artistic-2.0", ("artistic-2-spdx",)),
+    ("EUPL-1.2", ("eupl-licensed",)),
+    ("EUPL-1.2", ("eupl-title",)),
+    ("EUPL-1.2", ("eupl-spdx",)),
+    ("CC-BY-NC-4.0", ("cc-by-nc-work",)),
+    ("CC-BY-SA-4.0", ("cc-by-sa-work",)),
+    ("CC-BY-SA-4.0", ("cc-by-sa-spdx",)),
+    ("CC-BY-4.0", ("cc-by-work",)),
+    ("CC-BY-4.0", ("cc-by-spdx",)),
+    ("CC0-1.0", ("cc0-title",)),
+    ("CC0-1.0", ("cc0-spdx",)),
 )
 
 # A sentence ends at a stop and white space, at a line end, or at one of ; : ! ?
@@ -131,7 +259,7 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 # Every known sentence has one of these.
-NEEDED = r"licen[sc]|permi|redistribut|warrant|public[^a-z0-9]+domain"
+NEEDED = r"licen[sc]|permi|redistribut|warrant|eupl|cc0|public[^a-z0-9]+domain"
 
 
 def oracle() -> str:
