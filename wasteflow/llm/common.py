@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SLICE_BYTES = 16 << 20
+BROADCAST_BYTES = 8 << 20
+MOST_FILES = 100_000  # file names that are broadcast at most
 _OWN: list[str] = []
 
 
@@ -44,8 +46,26 @@ def discard(*tables: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def few(ids: DataFrame) -> DataFrame:
+    """ids (one column, written before) for a join: broadcast if they are at most BROADCAST_BYTES, else met by a merge join."""
+    (name, kind), = ids.dtypes
+    size = F.sum(F.length(name) + 8) if kind in ("string", "binary") else 8 * F.count("*")
+    return F.broadcast(ids) if (ids.agg(size).first()[0] or 0) <= BROADCAST_BYTES else ids.hint("merge")
+
+
 def with_row_key(df: DataFrame, column: str, name: str) -> DataFrame:
-    """df with a long that differs in all rows; written and read again, so that every use sees the same keys."""
+    """df with a long that differs in all rows, the same at every use.
+
+    Rows of a table that is read from files are known by file and place; others are written with a key and read again.
+    """
+    spark = df.sparkSession
+    if df._jdf.queryExecution().analyzed().getClass().getSimpleName() == "LogicalRelation":
+        files = [r[0] for r in df.select(F.col("_metadata.file_path").alias("f")).distinct().limit(MOST_FILES + 1).collect()]
+        if len(files) <= MOST_FILES:
+            numbers = spark.createDataFrame(list(enumerate(sorted(files))), "wf_number long, wf_file string")
+            placed = df.select("*", F.col("_metadata.file_path").alias("wf_path"), F.col("_metadata.row_index").alias("wf_index"))
+            placed = placed.join(F.broadcast(numbers), F.col("wf_path") == F.col("wf_file"))
+            return placed.select(*[F.col(f"`{c}`") for c in df.columns], (F.shiftleft("wf_number", 40) + F.col("wf_index")).alias(column))
     return materialize(df.withColumn(column, F.monotonically_increasing_id()), name)
 
 

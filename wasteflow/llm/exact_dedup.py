@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_rows, materialize
+from .common import few, map_rows, materialize
 
 MAX_DEPTH = 14
 PART = 256
@@ -127,7 +127,7 @@ def exact_groups(docs: DataFrame, capacity: int = 50_000, id_col: str = "doc_id"
     chained = index.join(shared.hint("shuffle_hash"), ["bucket", "key"]).select("bucket", "key", "entry", lots)
     owned = materialize(chained.join(entries.select("entry", "doc_id", "sha").hint("merge"), "entry"), "dedup-chained")
     by, own = ("entry", row_col) if row_col else ("doc_id", id_col)
-    wanted = owned.select(F.col(by).alias("wanted")).distinct().hint("merge")
+    wanted = few(owned.select(F.col(by).alias("wanted")).distinct())
     source = docs.select(F.col(own).alias("id"), F.col(text_col).alias("text"))
     source = source.join(wanted, F.col("id").eqNullSafe(F.col("wanted")), "left_semi")
 
