@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wasteflow.llm.common import materialize, with_row_key
+from wasteflow.llm.common import few, materialize, with_row_key
 from wasteflow.llm.exact_dedup import exact_groups
 from wasteflow.llm.jaccard import jaccard_components
 from wasteflow.llm.langid import held_out, predict, train_profiles
@@ -30,18 +30,25 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of rows with equal text, one with the largest id stays; rows may share an id or have none."""
     keyed = with_row_key(docs, ROW, "pipeline-exact-rows")
-    kept = exact_groups(keyed, row_col=ROW).where("row_id = keep_row").select(F.col("row_id").alias("keep"))
-    return keyed.join(kept.hint("merge"), F.col(ROW) == F.col("keep"), "left_semi").select(*docs.columns)
+    dropped = exact_groups(keyed, row_col=ROW).where("row_id <> keep_row").select(F.col("row_id").alias("drop"))
+    return without(keyed, dropped).select(*docs.columns)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each component of near-duplicate rows (five words, similarity 0.8), one with the smallest id stays, a null id last."""
     keyed = with_row_key(docs, ROW, "pipeline-near-rows")
     found = jaccard_components(keyed, width=5, percent=80, id_col=ROW).select(F.col("doc_id").alias("row"), "component_id")
+    found = materialize(found, "pipeline-near-found")
     ids = keyed.select(F.col(ROW).alias("row"), "doc_id")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row"))
-    kept = found.join(ids.hint("merge"), "row").groupBy("component_id").agg(first.alias("first")).select(F.col("first.row").alias("keep"))
-    return keyed.join(kept.hint("merge"), F.col(ROW) == F.col("keep"), "left_semi").select(*docs.columns)
+    kept = found.join(ids.hint("merge"), "row").groupBy("component_id").agg(first.alias("first")).select(F.col("first.row").alias("row"))
+    return without(keyed, found.join(kept.hint("merge"), "row", "left_anti").select(F.col("row").alias("drop"))).select(*docs.columns)
+
+
+def without(keyed: DataFrame, dropped: DataFrame) -> DataFrame:
+    """The rows whose key is not in dropped."""
+    dropped = materialize(dropped, "pipeline-dropped")
+    return keyed.join(few(dropped), F.col(ROW) == F.col("drop"), "left_anti")
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
