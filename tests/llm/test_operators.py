@@ -277,15 +277,129 @@ def test_pitman_yor_base_and_gain(spark):
     assert pitman_yor.score_documents(docs(spark, [])).count() == 0
 
 
-def test_spelling_is_a_distribution():
-    cells, first = pitman_yor.codes([b"ab", b"", b"abc", b"ba"])
-    own, n = np.unique(cells, return_counts=True)
-    s = pitman_yor.Spelling(own, n, None, 0)
-    for _ in range(3):
-        s = pitman_yor.Spelling(own, n, s, 1)
-        assert np.allclose(s.p0.sum(1), 1) and np.allclose(s.p1.sum(1), 1) and np.allclose(s.p2.sum(1), 1)
-    t = pitman_yor.seat(np.array([0.0, 1, 5, 1e6]), np.array([1.0, 1, 2, 3]), 0.5, np.arange(4, dtype=np.uint64))
-    assert t[0] == 0 and t[1] == 1 and 1 <= t[2] <= 5 and 5 < t[3] < 1e6
+def one_by_one(count, pull, discount, seed):
+    tables = 0
+    for i in range(count):
+        if i == 0 or pitman_yor.uniform(np.array([seed], np.uint64), np.array([i]))[0] * (pull + i - discount * tables) < pull:
+            tables += 1
+    return tables
+
+
+def test_seating_is_that_of_customers_one_by_one(monkeypatch):
+    rng = np.random.default_rng(1)
+    for at_once in (7, 1 << 20):
+        monkeypatch.setattr(pitman_yor, "AT_ONCE", at_once)
+        counts = np.append(rng.integers(0, 12, 60), [300, 2, 1000])
+        pull, seed = rng.random(len(counts)) * 5, rng.integers(0, 1 << 63, len(counts)).astype(np.uint64)
+        got = pitman_yor.seat(counts, pull, 0.7, seed)
+        assert got.tolist() == [one_by_one(*x) for x in zip(counts, pull, [0.7] * len(counts), seed)]
+
+
+def test_predictions_are_a_distribution_in_every_context(spark):
+    texts = ["a b a b c", "a b d", "c a b", "d d d a", "b a"] * 4
+    source = docs(spark, [(i, t, None) for i, t in enumerate(texts)]).select("doc_id", "text", F.lit(False).alias("held_out"))
+    for hot_tokens in (1000, 8):
+        parts = pitman_yor.plan_parts(source.coalesce(1), 10, hot_tokens)
+        assert len(parts.hot) == (4 if hot_tokens == 8 else 0)
+        n = parts.count
+        table = pitman_yor.gather(pitman_yor.blocks(source, parts).repartition(n, "part").sortWithinPartitions("part")).where("part >= 0")
+        model = pitman_yor.train(table, parts, 3)
+        assert model.size == 5 and model.total == sum(len(t.split()) + 1 for t in texts)
+        words, contexts, _ = pitman_yor.tokens_of(["a b c d new"])
+        dealt = [(w, u, *parts.deal(np.array([w], np.uint64), np.array([u], np.uint64))) for u in contexts for w in words]
+        counts = {}
+        for r in table.collect():
+            for k, c in zip(pitman_yor.unpacked(r["keys"], np.uint64).tolist(), pitman_yor.unpacked(r["train"], np.int64).tolist()):
+                counts[r["part"], k] = c
+        sums = Counter()
+        for number in {int(d[2][0]) for d in dealt}:
+            # the part's own cells, and those asked for with no customers
+            keys = np.unique(np.array([k for p, k in counts if p == number] + [int(d[3][0]) for d in dealt if d[2][0] == number], np.uint64))
+            p = pitman_yor.Part(number, keys, np.array([counts.get((number, int(k)), 0) for k in keys.tolist()]), parts)
+            found = dict(zip(keys.tolist(), pitman_yor.predict(p, model, 1)[2]))
+            for _, u, part, key in dealt:
+                if part[0] == number:
+                    sums[int(u)] += 10 ** found[int(key[0])]
+        assert all(abs(v - 1) < 1e-9 for v in sums.values()) and len(sums) == 6
+
+
+def gibbs(texts, vocabulary, sweeps=40, seed=1):
+    """Customers of contexts that leave and are seated one at a time, tables with their sizes; mean log10 of each text's tokens."""
+    rng = random.Random(seed)
+    seqs = [[("<s>" if i == 0 else w[i - 1], x) for i, x in enumerate(w)] for w in ([*t.lower().split(), "END"] for t in texts)]
+    d, theta, size = 0.75, 1.0, vocabulary + 1
+    rooms: dict = {}
+    seats = [[None] * len(s) for s in seqs]
+    base = lambda w: 1 / size
+
+    def prob(room, w, above):
+        tables = rooms.get(room, {})
+        n, t = sum(sum(v) for v in tables.values()), sum(map(len, tables.values()))
+        return (sum(tables.get(w, [])) - d * len(tables.get(w, [])) + (theta + d * t) * above) / (theta + n)
+
+    def enter(room, w, above):
+        tables = rooms.setdefault(room, {})
+        t = sum(map(len, tables.values()))
+        own = tables.setdefault(w, [])
+        weights = [x - d for x in own] + [(theta + d * t) * above]
+        at = rng.choices(range(len(weights)), weights)[0]
+        if at == len(own):
+            own.append(1)
+            return True
+        own[at] += 1
+        return False
+
+    def leave(room, w):
+        own = rooms[room][w]
+        at = rng.choices(range(len(own)), own)[0]
+        own[at] -= 1
+        if not own[at]:
+            own.pop(at)
+            return True
+        return False
+
+    total = [0.0] * len(seqs)
+    for sweep in range(sweeps):
+        for i, s in enumerate(seqs):
+            for j, (u, w) in enumerate(s):
+                if sweep and leave(("c", u), w):
+                    leave("root", w)
+                if enter(("c", u), w, prob("root", w, base(w))):
+                    enter("root", w, base(w))
+        if sweep >= sweeps // 2:
+            for i, s in enumerate(seqs):
+                total[i] += sum(math.log10(prob(("c", u), w, prob("root", w, base(w)))) for u, w in s) / (sweeps - sweeps // 2)
+    return total
+
+
+def test_pitman_yor_knows_word_order_and_agrees_with_a_small_sampler(spark):
+    rng = random.Random(9)
+    vocab = [f"w{chr(97 + i)}" for i in range(26)]
+    follow = {w: rng.sample(vocab, 3) for w in vocab}
+
+    def text():
+        out = [rng.choice(vocab)]
+        while len(out) < 40:
+            out.append(rng.choice(follow[out[-1]]))
+        return out
+
+    made = [(i, " ".join(text())) for i in range(200)]
+    mixed = [(1000 + i, " ".join(rng.sample(t.split(), 40))) for i, t in made if zlib.crc32(str(i).encode()) % 10 == 0]
+    mixed = [(i * 10, t) for i, t in mixed if zlib.crc32(str(i * 10).encode()) % 10 == 0] or [(next(k for k in range(5000, 9000) if zlib.crc32(str(k).encode()) % 10 == 0), mixed[0][1])]
+    rows = [(i, t, None) for i, t in made + mixed]
+    one = {r["doc_id"]: r for r in pitman_yor.score_documents(docs(spark, rows).repartition(3)).collect()}
+    held = [i for i, _ in made if one[i]["held_out"]]
+    # Pairs help: held-out text in order scores above the base and above mixed words; splitting words and parts changes little.
+    assert all(one[i]["held_out"] for i, _ in mixed) and len(held) > 5
+    per_token = lambda ids, c, out: sum(out[i][c] for i in ids) / sum(out[i]["n_tokens"] for i in ids)
+    assert per_token(held, "score", one) > per_token(held, "base_score", one) + 0.4
+    assert per_token([i for i, _ in mixed], "score", one) < per_token(held, "score", one) - 0.4
+    assert all(abs(r["perplexity"] - 10 ** (-r["score"] / r["n_tokens"])) < 1e-6 for r in one.values())
+    other = {r["doc_id"]: r for r in pitman_yor.score_documents(docs(spark, rows).repartition(3), part_tokens=500, hot_tokens=200).collect()}
+    assert all(one[i][c] == other[i][c] for i in one for c in ("n_tokens", "n_known", "train_tokens")) and all(abs(one[i]["base_score"] - other[i]["base_score"]) < 1e-9 for i in one)
+    train = [i for i, _ in made if not one[i]["held_out"]]
+    small = sum(gibbs([t for i, t in made if i in set(train)], 27)) / sum(one[i]["n_tokens"] for i in train)
+    assert abs(per_token(train, "score", one) - small) < 0.05 and abs(per_token(train, "score", other) - small) < 0.05
 
 
 def test_licences(spark):

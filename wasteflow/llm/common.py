@@ -10,7 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-SLICE_BYTES = 16 << 20
+SLICE_BYTES = 4 << 20
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 BROADCAST_BYTES = 8 << 20
 MOST_FILES = 100_000  # file names that are broadcast at most
 _OWN: list[str] = []
@@ -28,11 +29,20 @@ def shared_dir(spark: SparkSession) -> str:
     return _OWN[0]
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Writes df as Parquet to the shared folder and reads it back: cuts lineage and survives lost executors."""
+def materialize(df: DataFrame, name: str, batch_rows: int | None = None) -> DataFrame:
+    """Writes df as Parquet to the shared folder and reads it back: cuts lineage and survives lost executors.
+
+    batch_rows: rows that Python functions of this job get at once at most, for wide rows.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    usual = spark.conf.get(BATCH)
+    try:
+        if batch_rows:
+            spark.conf.set(BATCH, str(batch_rows))
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(BATCH, usual)
     out = spark.read.schema(df.schema).parquet(path)
     out.written_to = path
     return out
