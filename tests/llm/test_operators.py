@@ -316,7 +316,7 @@ def test_predictions_are_a_distribution_in_every_context(spark):
             # the part's own cells, and those asked for with no customers
             keys = np.unique(np.array([k for p, k in counts if p == number] + [int(d[3][0]) for d in dealt if d[2][0] == number], np.uint64))
             p = pitman_yor.Part(number, keys, np.array([counts.get((number, int(k)), 0) for k in keys.tolist()]), parts)
-            found = dict(zip(keys.tolist(), pitman_yor.predict(p, model, 1)[2]))
+            found = dict(zip(keys.tolist(), pitman_yor.predict(p, model, 1)[1]))
             for _, u, part, key in dealt:
                 if part[0] == number:
                     sums[int(u)] += 10 ** found[int(key[0])]

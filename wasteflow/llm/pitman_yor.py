@@ -192,7 +192,7 @@ def blocks(source: DataFrame, parts: Parts) -> DataFrame:
                 idx = np.arange(n_docs, n_docs + len(ids))
                 held.append((word, context, np.repeat(2 * idx + np.array(out_held, np.int64), sizes).astype(np.uint16)))
                 none = [None] * len(ids)
-                yield {"block": [block] * len(ids), "part": [-1 - block % 1024] * len(ids), "idx": idx, "doc_id": ids, "held_out": out_held, "n_tokens": sizes} | {c: none for c in BLOBS}
+                yield {"block": [block] * len(ids), "part": [-1 - ((block >> 30) + block) % 1024] * len(ids), "idx": idx, "doc_id": ids, "held_out": out_held, "n_tokens": sizes} | {c: none for c in BLOBS}
                 n_docs, n_tokens, at = n_docs + len(ids), n_tokens + len(word), upto
                 if n_tokens >= BLOCK_TOKENS or n_docs == BLOCK_DOCS:
                     yield from flush()
@@ -372,8 +372,8 @@ def train(table: DataFrame, parts: Parts, sweeps: int) -> Model:
     return model
 
 
-def predict(p: Part, model: Model, burn_in: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For each cell: whether the word is known, its base log10 probability, and its predictive probability's log10."""
+def predict(p: Part, model: Model, burn_in: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each cell: training tokens of its word, and the log10 of its predictive probability."""
     out, n = np.zeros(len(p.keys)), len(model.states) - 1
     for i, (t, k, t_word) in enumerate(p.sweeps(model, n)):
         if i < burn_in:
@@ -382,9 +382,8 @@ def predict(p: Part, model: Model, burn_in: int) -> tuple[np.ndarray, np.ndarray
         word = model.parent(k, t_word, state) if p.hot is None else model.parent(state[1], state[2], state)[p.hot]
         weight = STRENGTH + model.discount * state[0][p.context]
         out += (np.maximum(p.train - model.discount * t, 0) + weight * word[p.of]) / (STRENGTH + model.context_counts[p.context])
-    counts = p.counts if p.hot is None else model.hot_counts[p.hot]
-    base = np.log10((counts + 0.1) / (model.total + 0.1 * (model.size + 1)))
-    return (counts > 0)[p.of], base[p.of], np.log10(out / (n - burn_in))
+    counts = p.counts if p.hot is None else model.hot_counts[p.hot].astype(np.int64)
+    return counts[p.of], np.log10(out / (n - burn_in))
 
 
 def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", part_tokens: int = PART_TOKENS, hot_tokens: int = HOT_TOKENS, burn_in: int = BURN_IN, samples: int = SAMPLES) -> DataFrame:
@@ -403,36 +402,38 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     cells = table.where("part >= 0")
     model = train(cells, parts, burn_in + samples)
     shared = spark.sparkContext.broadcast(model)
+    # what whole needs of the model
+    total, size = model.total, model.size
 
+    # A token's share of a document: its word's count, from which the base follows, and its score; some five bytes.
     def score(batches):
         for i, b, p in read_parts(batches, parts):
             sizes = unpacked(b["sizes"][i], np.uint32)
             doc = unpacked(b["numbers"][i], np.uint32).astype(np.int64) << 15 | unpacked(b["places"][i], np.uint16).astype(np.int64) >> 1
             order = np.argsort(doc, kind="stable")
-            doc = doc[order]
-            first = np.flatnonzero(np.diff(doc, prepend=-1))
-            cell = np.repeat(np.arange(len(sizes)), sizes)[order]
-            sums = [np.add.reduceat(v[cell].astype(np.float64), first) for v in predict(p, shared.value, burn_in)]
-            doc = doc[first]
+            doc, cell = doc[order], np.repeat(np.arange(len(sizes)), sizes)[order]
+            counts, scores = predict(p, shared.value, burn_in)
             cuts = np.flatnonzero(np.diff(doc >> 15, prepend=-1))
             names = np.frombuffer(b["blocks"][i], np.int64)
             for a, z in zip(cuts, np.append(cuts[1:], len(doc))):
-                yield {"block": [int(names[doc[a] >> 15])], "idx": [packed((doc[a:z] & 0x7FFF).astype(np.uint16))], "sums": [packed(np.concatenate([s[a:z] for s in sums]))]}
+                values = ((doc[a:z] & 0x7FFF).astype(np.uint16), counts[cell[a:z]], scores[cell[a:z]].astype(np.float32))
+                yield {"block": [int(names[doc[a] >> 15])]} | {c: [packed(v)] for c, v in zip(("idx", "counts", "scores"), values)}
 
     def whole(batches):
         held: dict[int, np.ndarray] = {}
         for b in batches:
-            for block, idx, sums in zip(b["block"], b["idx"], b["sums"]):
-                idx, sums = unpacked(idx, np.uint16), unpacked(sums, np.float64).reshape(3, -1)
+            for block, *blobs in zip(b["block"], b["idx"], b["counts"], b["scores"]):
+                idx, counts, scores = (unpacked(v, kind) for v, kind in zip(blobs, (np.uint16, np.int64, np.float32)))
+                values = (counts > 0, np.log10((counts + 0.1) / (total + 0.1 * (size + 1))), scores)
                 own = held.setdefault(block, np.zeros((3, 0)))
-                if (size := int(idx[-1]) + 1) > own.shape[1]:
-                    own = held[block] = np.pad(own, ((0, 0), (0, size - own.shape[1])))
-                own[:, idx] += sums
+                if (upto := int(idx[-1]) + 1) > own.shape[1]:
+                    own = held[block] = np.pad(own, ((0, 0), (0, upto - own.shape[1])))
+                own += [np.bincount(idx, v, own.shape[1]) for v in values]
         for block, (known, base, score) in held.items():
             yield {"block": [block] * len(known), "idx": list(range(len(known))), "n_known": np.rint(known).astype(np.int64), "base_score": base, "score": score}
 
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    partial = map_rows(cells, score, "block long, idx binary, sums binary").repartition(n, "block")
+    partial = map_rows(cells, score, "block long, idx binary, counts binary, scores binary").repartition(n, "block")
     sums = map_rows(partial, whole, "block long, idx int, n_known long, base_score double, score double")
     out = table.where("part < 0").select("block", *DOCUMENT).join(sums.hint("merge"), ["block", "idx"])
     perplexity = F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")).alias("perplexity")
