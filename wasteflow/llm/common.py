@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SLICE_BYTES = 4 << 20
-BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 1000
 BROADCAST_BYTES = 8 << 20
 MOST_FILES = 100_000  # file names that are broadcast at most
 _OWN: list[str] = []
@@ -29,20 +29,11 @@ def shared_dir(spark: SparkSession) -> str:
     return _OWN[0]
 
 
-def materialize(df: DataFrame, name: str, batch_rows: int | None = None) -> DataFrame:
-    """Writes df as Parquet to the shared folder and reads it back: cuts lineage and survives lost executors.
-
-    batch_rows: rows that Python functions of this job get at once at most, for wide rows.
-    """
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Writes df as Parquet to the shared folder and reads it back: cuts lineage and survives lost executors."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    usual = spark.conf.get(BATCH)
-    try:
-        if batch_rows:
-            spark.conf.set(BATCH, str(batch_rows))
-        df.write.parquet(path)
-    finally:
-        spark.conf.set(BATCH, usual)
+    df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.written_to = path
     return out
@@ -82,8 +73,12 @@ def with_row_key(df: DataFrame, column: str, name: str) -> DataFrame:
 def map_rows(df: DataFrame, fn: Callable[[Iterator[dict]], Iterator[dict]], schema: str) -> DataFrame:
     """mapInArrow where fn gets each batch as a dict of Python lists and yields such dicts.
 
-    Large batches come in slices, so that few texts are Python objects at once, however long they are.
+    Rows with whole texts are wide: the session's limit of rows for a batch is lowered to BATCH_ROWS where it is higher,
+    and large batches come in slices, so that few texts are Python objects at once, however long they are.
     """
+    conf = df.sparkSession.conf
+    if not 0 < int(conf.get(BATCH)) <= BATCH_ROWS:
+        conf.set(BATCH, str(BATCH_ROWS))
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import _parse_datatype_string
 
