@@ -35,6 +35,16 @@ def classify_tiered(col: Column, tiers) -> Column:
     return F.coalesce(*parts)
 
 
+def by_value(df: DataFrame, column: str, target: str, value: Column) -> DataFrame:
+    """df with target: value, an expression of column alone, evaluated once for each distinct value and joined by it.
+
+    For long rule lists over few values, as materials and places are. The distinct values come out of a shuffle, so the
+    join is chosen by their real size; a null value is joined as one.
+    """
+    values = df.select(F.col(column).alias("wf_value")).distinct().select("wf_value", value.alias(target))
+    return df.drop(target).join(values, F.col(column).eqNullSafe(F.col("wf_value")), "left").drop("wf_value")
+
+
 def backfill(df: DataFrame, target: str, value: Column) -> DataFrame:
     """Fills only rows where target is null."""
     return df.withColumn(target, F.coalesce(F.col(target), value))

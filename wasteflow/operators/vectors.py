@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,16 +21,17 @@ def norm(a: Column) -> Column:
 def cosine_topk(vectors: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """query_id, rank, id, similarity (rounded to 9): each query's k nearest by cosine, itself left out, ties to smaller ids.
 
-    The query set is stated by the caller; above MAX_QUERIES it is refused, and is to be passed in parts. Null and
-    zero vectors take no part. Every task keeps only its best k of each query before the shuffle.
+    The query set is stated by the caller; it meets the vectors in blocks of about MAX_QUERIES, which are broadcast one by
+    one. Null and zero vectors take no part. Every task keeps only its best k of each query before the shuffle.
     """
-    if queries.limit(MAX_QUERIES + 1).count() > MAX_QUERIES:
-        raise ValueError(f"pass at most {MAX_QUERIES} queries at once")
     q = queries.select(F.col(id_col).alias("query_id"), F.col(vector).alias("q"), norm(F.col(vector)).alias("qn")).where("qn > 0")
     v = vectors.select(F.col(id_col).alias("id"), F.col(vector).alias("v"), norm(F.col(vector)).alias("vn")).where("vn > 0")
-    s = v.join(F.broadcast(q), F.col("id") != F.col("query_id")).select("query_id", "id", F.round(dot(F.col("q"), F.col("v")) / (F.col("qn") * F.col("vn")), 9).alias("similarity"))
+    similarity = F.round(dot(F.col("q"), F.col("v")) / (F.col("qn") * F.col("vn")), 9).alias("similarity")
+    n = max(1, -(-q.count() // MAX_QUERIES))
+    blocks = [q.where(F.pmod(F.xxhash64("query_id"), F.lit(n)) == i) for i in range(n)]
+    met = [v.join(F.broadcast(b), F.col("id") != F.col("query_id")).select("query_id", "id", similarity) for b in blocks]
     order = Window.partitionBy("query_id").orderBy(F.desc("similarity"), "id")
-    return s.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    return reduce(DataFrame.unionAll, met).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
 def search_filtered(vectors: DataFrame, queries: DataFrame, k: int, where: str) -> DataFrame:

@@ -110,9 +110,10 @@ def _(t):
     return t.listings.select("id", F.explode(E.cas_numbers(text)).alias("cas"))
 
 
-@query("e19_volume_mentions", "SELECT id, source_quote AS mention FROM {listings} WHERE length(source_quote) < 80")
+@query("e19_volume_mentions", """WITH q AS (SELECT id, source_quote, strpos(source_quote, ' tonnes') AS p FROM {listings})
+    SELECT id, substr(source_quote, greatest(0, p - 52) + 1, p + 56 - greatest(0, p - 52)) AS mention FROM q WHERE p > 0""")
 def _(t):
-    return t.listings.where("length(source_quote) < 80").select("id", F.explode(E.volume_mentions(F.col("source_quote"))).alias("mention"))
+    return t.listings.select("id", F.explode(E.volume_mentions(F.col("source_quote"))).alias("mention"))
 
 
 GROUPS = {"words": ["the", "and"], "wide": ["que", "der"], "secret": ["password", "akia"], "licence": ["license"]}

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from .. import rules as R
 from ..operators import normalize as N
-from ..operators.classify import backfill, classify, sql_case
+from ..operators.classify import backfill, by_value, classify, sql_case
 from .catalog import query
 
 UNIT = "CASE l_linenumber % 5 WHEN 0 THEN 'kg' WHEN 1 THEN 'tons' WHEN 2 THEN 'lbs' WHEN 3 THEN 'tonnes' ELSE 'barrels' END"
@@ -44,20 +44,21 @@ def _(t):
 
 @query("d5_classify", f"SELECT id, material, {sql_case('material', R.PART_RULES, 'other')} AS category FROM {{listings}}")
 def _(t):
-    return t.listings.select("id", "material", classify(F.col("material"), R.PART_RULES, "other").alias("category"))
+    return by_value(t.listings.select("id", "material"), "material", "category", classify(F.col("wf_value"), R.PART_RULES, "other"))
 
 
 @query("d6_extract_country", f"SELECT id, {sql_case('source_location', R.COUNTRIES, 'EUR')} AS country FROM {{listings}}")
 def _(t):
-    return t.listings.select("id", N.extract_country(F.col("source_location")).alias("country"))
+    return by_value(t.listings.select("id", "source_location"), "source_location", "country", N.extract_country(F.col("wf_value"))).drop("source_location")
 
 
 @query("d7_backfill", f"""SELECT id, CASE WHEN id % 2 = 0 THEN material_subcategory ELSE {sql_case('material', R.PART_RULES, 'industrial_waste')} END AS category,
     {sql_case('source_location', R.COUNTRIES, 'EUR')} AS country FROM {{listings}}""")
 def _(t):
     df = t.listings.withColumn("category", F.expr("CASE WHEN id % 2 = 0 THEN material_subcategory END")).withColumn("country", F.lit(None).cast("string"))
-    df = backfill(df, "category", classify(F.col("material"), R.PART_RULES, "industrial_waste"))
-    return backfill(df, "country", N.extract_country(F.col("source_location"))).select("id", "category", "country")
+    df = by_value(df.select("id", "category", "country", "material", "source_location"), "material", "by_material", classify(F.col("wf_value"), R.PART_RULES, "industrial_waste"))
+    df = by_value(df, "source_location", "by_place", N.extract_country(F.col("wf_value")))
+    return backfill(backfill(df, "category", F.col("by_material")), "country", F.col("by_place")).select("id", "category", "country")
 
 
 DATE_TEXT = """CASE o_orderkey % 4 WHEN 0 THEN {iso} WHEN 1 THEN {dmy} WHEN 2 THEN concat('FY', CAST(year(o_orderdate) AS STRING), ' report') ELSE 'none' END"""
