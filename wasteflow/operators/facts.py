@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,6 +25,7 @@ def number(text: Column) -> Column:
     return F.regexp_replace(text, ",", "").try_cast("double")
 
 
+# Patterns that decide a fact's quote.
 WASTE = r"(?i)([^.]*?([\d,]+\.?\d*)\s*(metric\s*tons?|tonnes?|tons?|kg|mt)[^.]*\.)"
 CARBON = r"(?i)([^.]*?([\d,]+\.?\d*)\s*(?:million\s*)?(?:tonnes?|tons?|mt)\s*(?:of\s*)?(?:CO2|carbon)[^.]*\.)"
 VOLUME = r"(?i)([\d,]+\.?\d*)\s*(?:tonnes?|tons?|mt)\b"
@@ -115,15 +116,17 @@ def route_results(df: DataFrame, kind: str = "record_type") -> dict[str, DataFra
 
 def scan_texts(df: DataFrame, find, schema: str, key: str, text: str) -> DataFrame:
     """Rows of find(text) -> list of tuples for every text, with its key; null texts give none. Arrow batches, no shuffle."""
-    names = [s.split()[0] for s in schema.split(", ")]
-    kind = dict(df.dtypes)[key]
+    names, kinds = zip(*[s.split() for s in schema.split(", ")])
+    types = [{"string": pa.string(), "double": pa.float64()}[k] for k in kinds]
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            rows = [(k, *r) for k, t in zip(f[key], f[text]) if t is not None for r in find(t)]
-            yield pd.DataFrame(rows, columns=[key, *names])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            hits = [(i, *r) for i, t in enumerate(b.column(1).to_pylist()) if t is not None for r in find(t)]
+            if hits:
+                at, *columns = zip(*hits)
+                yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(at)), *[pa.array(c, t) for c, t in zip(columns, types)]], names=[key, *names])
 
-    return df.select(key, text).mapInPandas(run, f"{key} {kind}, {schema}")
+    return df.select(key, text).mapInArrow(run, f"{key} {dict(df.dtypes)[key]}, {schema}")
 
 
 def process_context(df: DataFrame, words: list[str], around: int = 100, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -14,12 +14,12 @@ PRICE_UNITS = {"lb": 0.000453592, "kg": 0.001, "ton": 0.907185, "mt": 1.0, "metr
 
 # Material categories of the normalizer.
 CATEGORIES = (
-    ("metals", "steel iron copper aluminum aluminium brass zinc nickel lead tin".split() + ["scrap metal", "ferrous", "non-ferrous", "alloy", "stainless"]),
-    ("plastics", "plastic polymer pet hdpe ldpe pvc pp polypropylene polyethylene polystyrene abs".split()),
+    ("metals", ["steel", "iron", "copper", "aluminum", "aluminium", "brass", "zinc", "nickel", "lead", "tin", "scrap metal", "ferrous", "non-ferrous", "alloy", "stainless"]),
+    ("plastics", ["plastic", "polymer", "pet", "hdpe", "ldpe", "pvc", "pp", "polypropylene", "polyethylene", "polystyrene", "abs"]),
     ("organics", ["organic", "biomass", "food waste", "compost", "agricultural", "wood", "paper", "cardboard", "cellulose"]),
-    ("chemicals", "chemical solvent acid alkali caustic sulfur sulphur chlorine ammonia".split()),
-    ("energy", "steam heat energy power electricity gas fuel oil coal".split()),
-    ("water", "water wastewater effluent sewage coolant".split()),
+    ("chemicals", ["chemical", "solvent", "acid", "alkali", "caustic", "sulfur", "sulphur", "chlorine", "ammonia"]),
+    ("energy", ["steam", "heat", "energy", "power", "electricity", "gas", "fuel", "oil", "coal"]),
+    ("water", ["water", "wastewater", "effluent", "sewage", "coolant"]),
     ("construction", ["concrete", "cement", "aggregate", "sand", "gravel", "gypsum", "slag", "fly ash", "ash"]),
 )
 
@@ -33,27 +33,27 @@ PART_RULES = (
 
 # Category rules of the backfill.
 BACKFILL_CATEGORIES = (
-    ("metals", "zinc lead copper nickel aluminum aluminium iron steel chromium cadmium mercury arsenic metal alloy".split()),
-    ("chemicals", "acid chlor sulfur sulphur nitro ammonia hydroxide oxide compound solvent benzene toluene xylene phenol".split()),
-    ("organics", "organic carbon methane ethane food bio sludge".split()),
-    ("plastics", "plastic polymer polyethylene polypropylene pvc styrene".split()),
-    ("hazardous", "hazardous toxic radioactive pcb dioxin furan asbestos".split()),
-    ("water_emissions", "water aqueous wastewater effluent".split()),
-    ("air_emissions", "air emission particulate dust pm10 pm2.5 nox sox".split()),
-    ("energy", "oil fuel petroleum coal gas".split()),
+    ("metals", ["zinc", "lead", "copper", "nickel", "aluminum", "aluminium", "iron", "steel", "chromium", "cadmium", "mercury", "arsenic", "metal", "alloy"]),
+    ("chemicals", ["acid", "chlor", "sulfur", "sulphur", "nitro", "ammonia", "hydroxide", "oxide", "compound", "solvent", "benzene", "toluene", "xylene", "phenol"]),
+    ("organics", ["organic", "carbon", "methane", "ethane", "food", "bio", "sludge"]),
+    ("plastics", ["plastic", "polymer", "polyethylene", "polypropylene", "pvc", "styrene"]),
+    ("hazardous", ["hazardous", "toxic", "radioactive", "pcb", "dioxin", "furan", "asbestos"]),
+    ("water_emissions", ["water", "aqueous", "wastewater", "effluent"]),
+    ("air_emissions", ["air", "emission", "particulate", "dust", "pm10", "pm2.5", "nox", "sox"]),
+    ("energy", ["oil", "fuel", "petroleum", "coal", "gas"]),
 )
 
 # Country keywords to ISO codes, in order.
 COUNTRIES = (
-    ("DEU", "germany deutschland german".split()), ("FRA", "france french".split()), ("ESP", "spain spanish españa".split()), ("ITA", "italy italian italia".split()),
-    ("POL", "poland polish polska".split()), ("NLD", "netherlands dutch holland".split()), ("BEL", "belgium belgian".split()), ("SWE", "sweden swedish".split()),
-    ("AUT", "austria austrian österreich".split()), ("CZE", "czech czechia".split()), ("ROU", "romania romanian".split()), ("PRT", "portugal portuguese".split()),
-    ("GRC", "greece greek".split()), ("HUN", "hungary hungarian".split()), ("FIN", "finland finnish".split()), ("DNK", "denmark danish".split()), ("IRL", "ireland irish".split()),
-    ("SVK", "slovakia slovak".split()), ("BGR", "bulgaria bulgarian".split()), ("HRV", "croatia croatian".split()), ("SVN", "slovenia slovenian".split()),
-    ("LTU", "lithuania lithuanian".split()), ("LVA", "latvia latvian".split()), ("EST", "estonia estonian".split()), ("CYP", ["cyprus"]), ("LUX", ["luxembourg"]), ("MLT", ["malta"]),
+    ("DEU", ["germany", "deutschland", "german"]), ("FRA", ["france", "french"]), ("ESP", ["spain", "spanish", "españa"]), ("ITA", ["italy", "italian", "italia"]),
+    ("POL", ["poland", "polish", "polska"]), ("NLD", ["netherlands", "dutch", "holland"]), ("BEL", ["belgium", "belgian"]), ("SWE", ["sweden", "swedish"]),
+    ("AUT", ["austria", "austrian", "österreich"]), ("CZE", ["czech", "czechia"]), ("ROU", ["romania", "romanian"]), ("PRT", ["portugal", "portuguese"]),
+    ("GRC", ["greece", "greek"]), ("HUN", ["hungary", "hungarian"]), ("FIN", ["finland", "finnish"]), ("DNK", ["denmark", "danish"]), ("IRL", ["ireland", "irish"]),
+    ("SVK", ["slovakia", "slovak"]), ("BGR", ["bulgaria", "bulgarian"]), ("HRV", ["croatia", "croatian"]), ("SVN", ["slovenia", "slovenian"]),
+    ("LTU", ["lithuania", "lithuanian"]), ("LVA", ["latvia", "latvian"]), ("EST", ["estonia", "estonian"]), ("CYP", ["cyprus"]), ("LUX", ["luxembourg"]), ("MLT", ["malta"]),
     ("GBR", ["united kingdom", "uk", "britain", "england", "scotland", "wales"]), ("USA", ["usa", "united states", "america"]),
-    ("SAU", "saudi arabia riyadh jeddah jubail".split()), ("ARE", ["uae", "emirates", "dubai", "abu dhabi"]), ("QAT", "qatar doha".split()), ("KWT", ["kuwait"]),
-    ("OMN", ["oman"]), ("BHR", ["bahrain"]), ("EGY", "egypt cairo".split()), ("JOR", "jordan amman".split()),
+    ("SAU", ["saudi", "arabia", "riyadh", "jeddah", "jubail"]), ("ARE", ["uae", "emirates", "dubai", "abu dhabi"]), ("QAT", ["qatar", "doha"]), ("KWT", ["kuwait"]),
+    ("OMN", ["oman"]), ("BHR", ["bahrain"]), ("EGY", ["egypt", "cairo"]), ("JOR", ["jordan", "amman"]),
 )
 
 # Abbreviations that start a material type id.
@@ -63,7 +63,7 @@ TYPE_PREFIXES = (("COPPER", "CU"), ("ALUMINUM", "AL"), ("STEEL", "ST"), ("BRASS"
 HIGH_PAIRS = (("organics", "fibers"), ("hydrocarbons", "chemicals"))
 MEDIUM_PAIRS = (("plastics", "hydrocarbons"), ("metals", "chemicals"), ("glass", "mixed"))
 
-# Elements that are noise in a page, in order.
+# Patterns of elements that are noise in a page (C1), in order.
 NOISE_ELEMENTS = (
     r"<nav[^>]*>.*?</nav>", r"<header[^>]*>.*?</header>", r"<footer[^>]*>.*?</footer>", r"<aside[^>]*>.*?</aside>", r"<menu[^>]*>.*?</menu>",
     r"<div[^>]*(?:cookie|gdpr|consent|privacy-banner)[^>]*>.*?</div>", r"<div[^>]*class=[\"'][^\"']*(?:cookie|consent|gdpr|banner)[^\"']*[\"'][^>]*>.*?</div>",
@@ -71,7 +71,7 @@ NOISE_ELEMENTS = (
     r"<script[^>]*>.*?</script>", r"<style[^>]*>.*?</style>", r"<noscript[^>]*>.*?</noscript>", r"<!--.*?-->",
 )
 
-# Text that is noise, case-insensitive.
+# Patterns of text that is noise (C3), case-insensitive.
 NOISE_TEXT = (
     r"(?:we use cookies|this (?:site|website) uses cookies|cookie policy|accept (?:all )?cookies).*?(?:\.|$)",
     r"(?:skip to (?:main )?content|jump to navigation|back to top)",
@@ -103,3 +103,55 @@ REFERENCE_PRICES = (
     ("e_waste", 200, 2000, 20.0), ("circuit_boards", 3000, 15000, 25.0), ("batteries", 100, 1000, 5.0), ("textile_waste", 50, 300, 1.5), ("fiber_waste", 100, 500, 1.2),
     ("medical_waste", -500, -100, 3.0), ("pharmaceutical_waste", -300, 50, 2.0), ("scrap_tires", -50, 100, 2.8), ("rubber_waste", 50, 200, 2.5),
 )
+
+# Patterns of report facts (E12 to E16), case-insensitive, in order.
+WASTE_PATTERNS = (
+    r"(recycled?|disposed?|generated?|diverted?|recovered?)\s+([\d,]+(?:\.\d+)?)\s*(tonnes?|tons?|mt|kg)\s+(?:of\s+)?([a-zA-Z\s]+)",
+    r"([a-zA-Z]+\s*waste)\s*[:=]\s*([\d,]+(?:\.\d+)?)\s*(tonnes?|tons?|mt)",
+    r"([\d,]+(?:\.\d+)?)\s*(tonnes?|tons?|mt)\s+(?:of\s+)?([a-zA-Z\s]+)\s+(recycled?|disposed?|generated?)",
+    r"total\s+waste\s*[:=]?\s*([\d,]+(?:\.\d+)?)\s*(tonnes?|tons?|mt)",
+    r"waste\s+(?:to\s+)?landfill\s*[\|:]\s*([\d,]+(?:\.\d+)?)",
+    r"hazardous\s+waste\s*[\|:]\s*([\d,]+(?:\.\d+)?)",
+    r"(plastic|paper|metal|glass|organic)\s+waste\s*[:=]?\s*([\d,]+(?:\.\d+)?)\s*(tonnes?|tons?)?",
+)
+EMISSION_PATTERNS = (
+    r"(CO2|CO₂|carbon\s*dioxide|GHG|greenhouse\s*gas)\s*(?:emissions?)?\s*[:=]?\s*([\d,.]+)\s*(million)?\s*(tonnes?|tons?|mt|tCO2e?)",
+    r"(Scope\s*[123])\s*(?:emissions?)?\s*[:=]?\s*([\d,]+(?:\.\d+)?)\s*(tonnes?|tCO2e?|mt|kt)",
+    r"reduced?\s+(?:emissions?|CO2|carbon)\s+(?:by\s+)?([\d,.]+)\s*(%|percent|tonnes?)",
+    r"carbon\s+footprint\s*(?:of|:)?\s*([\d,.]+)\s*(million)?\s*(tonnes?|tons?|tCO2)?",
+    r"(methane|CH4|NOx|SOx)\s*(?:emissions?)?\s*[:=]?\s*([\d,.]+)\s*(tonnes?|mt|kg)",
+)
+ENERGY_PATTERNS = (
+    r"(?:energy|electricity)\s+(?:consumption|usage)\s*[:=]?\s*([\d,]+(?:\.\d+)?)\s*(MWh|GWh|TWh|GJ|TJ)",
+    r"(?:saved?|reduced?)\s+([\d,]+(?:\.\d+)?)\s*(MWh|GWh|kWh|GJ)\s+(?:of\s+)?(?:energy|electricity)?",
+    r"([\d,]+(?:\.\d+)?)\s*(MWh|GWh|TWh|GJ|TJ)\s+(?:of\s+)?(?:renewable|clean|green)\s+energy",
+    r"renewable\s+energy\s*[:=]?\s*([\d,]+(?:\.\d+)?)\s*(%|percent|MWh|GWh)?",
+    r"solar\s+(?:capacity|generation)\s*[:=]?\s*([\d,]+(?:\.\d+)?)\s*(MW|GW|MWh)?",
+)
+FINANCIAL_PATTERNS = (
+    r"\$\s*([\d,.]+)\s*(million|billion|M|B)?\s+(?:in\s+)?(?:savings?|saved)",
+    r"\$\s*([\d,.]+)\s*(million|billion|M|B)?\s+(?:in\s+)?(?:revenue|income)",
+    r"\$\s*([\d,.]+)\s*(million|billion|M|B)?\s+(?:in\s+)?(?:investment|invested)",
+    r"\$\s*([\d,.]+)\s*(million|billion|M|B)?\s+(?:in\s+)?(?:cost|expense)",
+    r"(?:cost|expense)\s+(?:savings?|reduction)\s*[:=]?\s*\$\s*([\d,.]+)\s*(million|M)?",
+    r"(?:recycling|environmental)\s+revenue\s*[:=]?\s*\$?\s*([\d,.]+)\s*(million|M)?",
+    r"(?:USD|EUR|€)\s*([\d,.]+)\s*(million|billion|M|B)?",
+    r"\$\s*([\d,.]+)\s*(?:per|/)\s*(?:ton|tonne|mt)",
+)
+CARBON_CREDIT_PATTERNS = (
+    r"(?:purchased?|bought|acquired?)\s+([\d,]+(?:\.\d+)?)\s*(?:million)?\s*(?:carbon)?\s*(?:credits?|offsets?|allowances?)",
+    r"([\d,]+(?:\.\d+)?)\s*(?:million)?\s*(?:carbon)?\s*(?:credits?|offsets?)\s+(?:purchased?|bought|acquired?)",
+    r"offset\s+([\d,]+(?:\.\d+)?)\s*(?:million)?\s*(?:tonnes?|tons?|tCO2e?)\s+(?:of\s+)?(?:CO2|carbon|emissions?)?",
+    r"([\d,]+(?:\.\d+)?)\s*(?:million)?\s*(?:tonnes?|tCO2e?)\s+(?:of\s+)?(?:carbon|CO2)\s+offset",
+    r"\$\s*([\d,.]+)\s*(million|billion|M|B)?\s+(?:on|for|spent\s+on)?\s*(?:carbon)?\s*(?:credits?|offsets?)",
+    r"(?:carbon|offset)\s+(?:spend|spending|expenditure|cost)\s*[:=]?\s*\$?\s*([\d,.]+)\s*(million|M)?",
+    r"(?:invested?|spent?)\s+\$?\s*([\d,.]+)\s*(million|M)?\s+(?:in|on)\s+(?:carbon)?\s*(?:credits?|offsets?)",
+    r"(?:carbon|CO2)\s+price\s*(?:of|[:=])?\s*(?:\$|€|EUR|USD)?\s*([\d,.]+)\s*(?:per|/)\s*(?:tonne?|ton|tCO2e?)",
+    r"(?:\$|€)\s*([\d,.]+)\s*(?:per|/)\s*(?:tonne?|ton)?\s*(?:of\s+)?(?:carbon|CO2)",
+    r"(?:EUA|ETS|EU\s*allowances?)\s*[:=]?\s*([\d,]+(?:\.\d+)?)\s*(?:million)?",
+    r"(?:retired?|surrendered?)\s+([\d,]+(?:\.\d+)?)\s*(?:million)?\s*(?:EUA|allowances?)",
+    r"(?:carbon|emissions?)\s+trading\s+(?:revenue|income)\s*[:=]?\s*\$?\s*([\d,.]+)\s*(million|M)?",
+    r"(?:sold|selling)\s+([\d,]+(?:\.\d+)?)\s*(?:million)?\s*(?:carbon)?\s*(?:credits?|allowances?)",
+    r"(?:VCS|Verra|Gold\s*Standard)\s+(?:credits?|offsets?)\s*[:=]?\s*([\d,]+(?:\.\d+)?)",
+    r"(?:carbon\s*neutral|net\s*zero)\s+(?:by|target|goal)\s+(20\d{2})",
+)
