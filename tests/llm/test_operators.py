@@ -553,3 +553,17 @@ def test_dedup_stages_keep_rows_not_ids(spark):
         got = [(r["doc_id"], r["text"].lower()) for r in near.collect()]
         first = 1 if stage_input is df else 2
         assert len(got) == 5 and set(got) == {(first, long), (first + 1, other), (None, "x"), (4, third), (4, "last one")}
+
+
+def test_licenses_in_long_sequences(spark):
+    """Notices files with very many sentences: a rule of two parts is found in linear time, in order only."""
+    name, (first, second) = "Zlib", ("zlib-as-is", "zlib-permission")
+    assert (name, (first, second)) in licenses.RULES
+    head, tail = licenses.SENTENCES[first], licenses.SENTENCES[second]
+    many = "SPDX-License-Identifier: MIT\n" * 100_000
+    rows = [(1, f"{head}.\n{many}{tail}.\n", None), (2, f"{tail}.\n{many}{head}.\n", None), (3, f"{head}.\n" * 100_000, None)]
+    began = time.time()
+    out = {r["doc_id"]: r for r in licenses.scan_licenses(docs(spark, rows)).collect()}
+    assert time.time() - began < 30
+    assert name in out[1]["licenses"].split(",") and "MIT" in out[1]["licenses"].split(",") and out[1]["n_sentences"] == 100_002
+    assert name not in out[2]["licenses"].split(",") and name not in out[3]["licenses"].split(",") and out[3]["n_sentences"] == 100_000
