@@ -11,6 +11,7 @@ from wasteflow.operators import csr
 from wasteflow.operators import exports as X
 from wasteflow.operators import facts as E
 from wasteflow.operators import joins as J
+from wasteflow.operators import names as names_of
 from wasteflow.operators import normalize as N
 from wasteflow.operators import pricing as P
 from wasteflow.operators import text as T
@@ -115,11 +116,11 @@ def test_fuzzy_join_loses_no_pair(spark, threshold, inclusive):
     refs = {*base, *(changed(rng.choice(base)) for _ in range(40))}
     want = {}
     for n in names:
-        found = sorted((-100.0 if r == n else -N.token_sort_ratio(n, r), r != n, r) for r in refs if r == n or (N.token_sort_ratio(n, r) >= threshold if inclusive else N.token_sort_ratio(n, r) > threshold))
+        found = sorted((-100.0 if r == n else -names_of.token_sort_ratio(n, r), r != n, r) for r in refs if r == n or (names_of.token_sort_ratio(n, r) >= threshold if inclusive else names_of.token_sort_ratio(n, r) > threshold))
         if found:
             want[n] = (n, 100.0) if n in refs else (found[0][2], -found[0][0])
     left, right = (spark.createDataFrame([(x,) for x in v], f"{c} string") for v, c in ((names, "n"), (refs, "r")))
-    out = N.fuzzy_join(left, right, "n", "r", threshold, inclusive).collect()
+    out = names_of.fuzzy_join(left, right, "n", "r", threshold, inclusive).collect()
     assert len(out) == len(want) and {r["name"]: (r["match"], r["score"]) for r in out} == want
     assert "sietens" in want
 
@@ -127,9 +128,9 @@ def test_fuzzy_join_loses_no_pair(spark, threshold, inclusive):
 def test_fuzzy_names(spark):
     left = spark.createDataFrame([("steel works acme",), ("Acme Steel",), ("nothing like",), (None,)], "n string")
     right = spark.createDataFrame([("acme steel works",), ("Acme Steel",)], "r string")
-    got = {r["name"]: (r["match"], r["score"]) for r in N.fuzzy_join(left, right, "n", "r").collect()}
+    got = {r["name"]: (r["match"], r["score"]) for r in names_of.fuzzy_join(left, right, "n", "r").collect()}
     assert got == {"steel works acme": ("acme steel works", 100.0), "Acme Steel": ("Acme Steel", 100.0)}
-    assert N.indel_ratio("abcd", "abxd") == 75.0
+    assert names_of.indel_ratio("abcd", "abxd") == 75.0
 
 
 def test_csv_and_headers(spark, tmp_path):

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.shared import written
+
 
 def clean_filter(df: DataFrame, first: int = 1970, last: int = 2025) -> DataFrame:
     """Rows with a material, a positive quantity and a year within the limits."""
@@ -106,9 +108,49 @@ def distinct_years(df: DataFrame, key: str, year: str) -> DataFrame:
     return df.groupBy(key).agg(F.count_distinct(year).alias("n_years"))
 
 
+FINE, LOG = 1 << 16, 1 << 10  # intervals of one refinement, and of a power of two in the first one
+
+
+def exact_median(df: DataFrame, value: Column) -> DataFrame:
+    """median of the values that are not null, exactly (null without any; NaN counts as infinity): one row.
+
+    Equal values are counted before the shuffle. Then intervals of values are counted, first in steps of the logarithm and
+    three times linearly within the interval that holds the middle, until one double is left. A task sees the values of its part
+    or the counts of the intervals, never all values.
+    """
+    v = value.cast("double")
+    counts = df.select(F.when(F.isnan(v), float("inf")).otherwise(v).alias("v")).where("v is not null").groupBy("v").agg(F.count("*").alias("n"))
+    counts = written(counts, "median-counts")  # read once for each refinement
+    total = counts.agg(F.sum("n").alias("total")).where("total > 0")
+    # The ranks of the two middle values, from 1; the same one if their number is odd.
+    wanted = total.select(F.explode(F.array(*[F.struct(F.lit(i).alias("q"), (F.floor((F.col("total") - 1 + i) / 2) + 1).alias("rank")) for i in (0, 1)])).alias("w")).select("w.*")
+    both = counts.select("v", "n", F.explode(F.array(F.lit(0), F.lit(1))).alias("q"))
+    infinite = F.abs("v") == float("inf")
+    log = F.when(infinite, F.signum("v") * (1 << 30)).otherwise(F.signum("v") * (F.floor(F.log2(F.abs("v") + 1e-300) * LOG) + LOG * 1000))
+    by_log = F.floor(log).cast("long")
+    span = F.col("high") / 2 - F.col("low") / 2
+    linear = F.coalesce(F.floor(F.try_divide(F.col("v") / 2 - F.col("low") / 2, span) * FINE), F.lit(0)).cast("long")
+
+    def narrow(rows: DataFrame, interval: Column) -> DataFrame:
+        """q, rank within the interval of the wanted value, its least and greatest value."""
+        g = rows.groupBy("q", interval.alias("interval")).agg(F.sum("n").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
+        w = Window.partitionBy("q").orderBy("interval")
+        g = g.withColumn("until", F.sum("n").over(w)).join(F.broadcast(target.select("q", "rank")), "q")
+        return g.where((F.col("until") >= F.col("rank")) & (F.col("until") - F.col("n") < F.col("rank"))).select("q", (F.col("rank") - F.col("until") + F.col("n")).alias("rank"), "low", "high")
+
+    target = wanted
+    target = narrow(both, by_log)
+    for _ in range(3):
+        inner = both.join(F.broadcast(target.select("q", "low", "high")), "q").where("v between low and high")
+        target = narrow(inner, linear)
+    return target.agg(F.avg("low").alias("median"))
+
+
 def quantity_stats(df: DataFrame, c: str, extreme: float = 1e6) -> DataFrame:
+    """mean, median, low, high, negatives, extremes of a column: one row."""
     v = F.col(c).cast("double")
-    return df.agg(F.avg(v).alias("mean"), F.median(v).alias("median"), F.min(v).alias("low"), F.max(v).alias("high"), F.count_if(v < 0).alias("negatives"), F.count_if(v > extreme).alias("extremes"))
+    rest = df.agg(F.avg(v).alias("mean"), F.min(v).alias("low"), F.max(v).alias("high"), F.count_if(v < 0).alias("negatives"), F.count_if(v > extreme).alias("extremes"))
+    return rest.join(F.broadcast(exact_median(df, v))).select("mean", "median", "low", "high", "negatives", "extremes")
 
 
 def distinct_key_count(df: DataFrame, keys: list[str]) -> DataFrame:

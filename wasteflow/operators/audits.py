@@ -32,6 +32,27 @@ def duplicate_groups(df: DataFrame, keys: list[str], guard: bool = False) -> Dat
     return g.agg(F.count("*").alias("n_groups"), F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"))
 
 
+def duplicate_key_sets(df: DataFrame, sets: list[tuple[str, list[str], bool]]) -> DataFrame:
+    """duplicate_groups of several (name, keys, guard), each with its key_set, from one scan of df.
+
+    Rows are expanded once for each different list of keys and counted before the shuffle; a guarded set takes the groups of the
+    same keys that hold no null.
+    """
+    lists = [list(k) for k in dict.fromkeys(tuple(k) for _, k, _ in sets)]
+    every = list(dict.fromkeys(c for k in lists for c in k))
+    groups = df.groupingSets([[F.col(c) for c in k] for k in lists], *every).agg(F.count("*").alias("n"), F.grouping_id().alias("gid")).where("n > 1")
+    # A column's bit is set where the column is not among the keys; the first column has the highest bit.
+    gid = lambda k: sum(1 << (len(every) - 1 - i) for i, c in enumerate(every) if c not in k)
+    counted = []
+    for name, keys, guard in sets:
+        own = F.col("gid") == gid(keys)
+        if guard:
+            for c in keys:
+                own = own & F.col(c).isNotNull()
+        counted.append(F.struct(F.lit(name).alias("key_set"), F.count_if(own).alias("n_groups"), F.coalesce(F.sum(F.when(own, F.col("n"))), F.lit(0)).alias("n_rows")))
+    return groups.agg(F.array(*counted).alias("s")).select(F.explode("s").alias("s")).select("s.*")
+
+
 def pre_upload_audit(df: DataFrame, this_year: int = 2026) -> DataFrame:
     m, q, y = F.col("material"), F.col("quantity_tons"), F.col("year")
     rules = [(f"null {c}", "critical", missing(c)) for c in ("material", "source_company", "year")]

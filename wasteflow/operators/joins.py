@@ -93,6 +93,49 @@ def radius_search(df: DataFrame, lat: float, lon: float, km: float) -> DataFrame
     return df.where(F.col("lat").between(lat - reach, lat + reach)).withColumn("distance_km", distance).where(F.col("distance_km") <= km)
 
 
+def degrees_of(km: float) -> float:
+    return km / (EARTH_KM * 3.141592653589793 / 180)
+
+
+def cells_in_band(band: Column, height: float) -> Column:
+    """Number of cells of a band of latitudes: cells are at least `height` degrees of a great circle wide, at the band's edge nearer to a pole."""
+    south = band * height - 90
+    edge = F.least(F.greatest(F.abs(south), F.abs(south + height)), F.lit(90.0))
+    return F.greatest(F.lit(1), F.floor(360 * F.cos(F.radians(edge)) / height)).cast("int")
+
+
+def radius_join(points: DataFrame, centres: DataFrame, km: float, point_id: str = "id", centre_id: str = "centre_id") -> DataFrame:
+    """centre_id, point id, distance_km of all points within km of each centre; both tables have lat and lon in degrees.
+
+    The globe is cut into bands of latitude as high as the radius, and bands into cells at least as wide, fewer near the
+    poles. A centre goes to every cell that its circle can touch, across the antimeridian and over the poles (a few each); a point is in
+    one cell, so that an equi join finds each pair once. Longitudes are taken modulo 360. Rows without a position, or with
+    a latitude beyond 90 degrees, meet nothing.
+    """
+    height = max(degrees_of(km), 1e-4)
+    around = lambda lon: F.pmod(lon + 180, F.lit(360.0))
+    band_of = lambda lat: F.floor((lat + 90) / height).cast("int")
+    valid = F.col("lat").between(-90, 90) & F.col("lon").isNotNull() & (F.abs("lon") < float("inf"))
+
+    p = points.where(valid).select(F.col(point_id).alias("p_id"), F.col("lat").cast("double").alias("p_lat"), F.col("lon").cast("double").alias("p_lon"))
+    p = p.withColumn("band", band_of(F.col("p_lat"))).withColumn("cells", cells_in_band(F.col("band"), height))
+    p = p.withColumn("cell", F.least(F.floor(around(F.col("p_lon")) / 360 * F.col("cells")).cast("int"), F.col("cells") - 1)).drop("cells")
+
+    r = degrees_of(km) + 1e-6
+    c = centres.where(valid).select(F.col(centre_id).alias("c_id"), F.col("lat").cast("double").alias("c_lat"), F.col("lon").cast("double").alias("c_lon"))
+    low, high = band_of(F.greatest(F.col("c_lat") - r, F.lit(-90.0))), band_of(F.least(F.col("c_lat") + r, F.lit(90.0)))
+    c = c.withColumn("band", F.explode(F.sequence(low, high))).withColumn("cells", cells_in_band(F.col("band"), height))
+    # The circle's reach in longitude; all of it where the circle holds a pole.
+    reach = F.when(F.abs("c_lat") + r < 90, F.degrees(F.asin(F.least(F.lit(1.0), F.sin(F.radians(F.lit(r))) / F.cos(F.radians("c_lat"))))) + 1e-6).otherwise(180.0)
+    first = F.floor((around(F.col("c_lon")) - reach) / 360 * F.col("cells")).cast("int")
+    last = F.floor((around(F.col("c_lon")) + reach) / 360 * F.col("cells")).cast("int")
+    touched = F.sequence(first, F.least(last, first + F.col("cells") - 1))
+    c = c.withColumn("cell", F.explode(F.transform(touched, lambda x: F.pmod(x, F.col("cells"))))).drop("cells")
+
+    met = p.join(c.hint("merge"), ["band", "cell"]).withColumn("distance_km", haversine(F.col("c_lat"), F.col("c_lon"), F.col("p_lat"), F.col("p_lon")))
+    return met.where(F.col("distance_km") <= km).select(F.col("c_id").alias(centre_id), F.col("p_id").alias(point_id), "distance_km")
+
+
 def upsert(target: DataFrame, source: DataFrame, key: list[str], order: str, policy: str = "overwrite") -> DataFrame:
     """Target with source's rows inserted or merged by key. Of source rows with one key the last by `order` counts.
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .. import rules as R
@@ -114,89 +114,3 @@ RECEIVERS = (("metals", "smelter"), ("plastics", "pelletizer"), ("tools", "works
 def receiver_lookup(category: Column, material: Column, table=RECEIVERS, default: str = "processor") -> Column:
     """Receiver type: bolts go to a foundry, else by category, else the default."""
     return F.when(F.lower(material).contains("bolt"), "foundry").otherwise(F.coalesce(F.try_element_at(lookup(dict(table)), category), F.lit(default)))
-
-
-def indel_ratio(a: str, b: str) -> float:
-    """100 * (1 - insertions and deletions / total length), from the longest common subsequence in bits."""
-    if not a and not b:
-        return 100.0
-    masks: dict[str, int] = {}
-    for i, ch in enumerate(a):
-        masks[ch] = masks.get(ch, 0) | 1 << i
-    full = (1 << len(a)) - 1
-    row = full
-    for ch in b:
-        common = row & masks.get(ch, 0)
-        row = (row + common) | (row - common)
-        row &= full
-    return 200.0 * (len(a) - row.bit_count()) / (len(a) + len(b))
-
-
-def token_sort_ratio(a: str, b: str) -> float:
-    return indel_ratio(" ".join(sorted(a.split())), " ".join(sorted(b.split())))
-
-
-def sorted_words(name: str) -> str:
-    return " ".join(sorted(name.split()))
-
-
-def fuzzy_join(left: DataFrame, right: DataFrame, name: str, ref: str, threshold: float = 85, inclusive: bool = False) -> DataFrame:
-    """Best token-sort match of each distinct name of left among right's: exact first, else the best ratio over threshold.
-
-    name, match, score (0 to 100); ties go to the smaller match. No pair over the threshold is lost: a ratio of t allows
-    d = (1 - t) * (a + b) edits of sorted words of a and b characters. With a space at both ends they have a + 1 and b + 1
-    pairs of neighbouring characters; a deletion destroys at most two and an insertion one, so that at least
-    a + 1 - 1.5 * d - (a - b) / 2 are shared, repeated ones counted, and as many from b's side. Over two thirds that is more
-    than none, and an equi join on the pairs finds all; else all names of fitting lengths are compared.
-    """
-    names = left.select(F.col(name).alias("name")).where("name is not null").distinct()
-    refs = right.select(F.col(ref).alias("match")).where("match is not null").distinct()
-    exact = names.join(refs, F.col("name") == F.col("match")).select("name", "match", F.lit(100.0).alias("score"))
-
-    @F.pandas_udf("string")
-    def in_order(a: pd.Series) -> pd.Series:
-        return a.map(sorted_words)
-
-    @F.pandas_udf("double")
-    def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([indel_ratio(x, y) for x, y in zip(a, b)])
-
-    l = names.join(exact, "name", "left_anti").select("name", in_order("name").alias("x")).withColumn("a", F.length("x"))
-    r = refs.select("match", in_order("match").alias("y")).withColumn("b", F.length("y"))
-    fits = F.expr(f"200 * least(a, b) >= {threshold} * (a + b) - 1e-6")
-    if threshold > 200 / 3:
-        d = F.floor((1 - threshold / 100) * (F.col("a") + F.col("b")) + 1e-9)
-        need = F.greatest("a", "b") + 1 - 1.5 * d - F.abs(F.col("a") - F.col("b")) / 2
-
-        def pieces(df, key, text, size, n):
-            padded = F.concat(F.lit(" "), text, F.lit(" "))
-            each = F.transform(F.sequence(F.lit(1), F.length(padded) - 1), lambda i: F.substr(padded, i, F.lit(2)))
-            return df.select(key, text, size, F.explode(each).alias("piece")).groupBy(key, text, size, "piece").agg(F.count("*").alias(n))
-
-        both = pieces(l, "name", "x", "a", "n").join(pieces(r, "match", "y", "b", "m").hint("merge"), "piece").where(fits)
-        pairs = both.groupBy("name", "match", "x", "y", "a", "b").agg(F.sum(F.least("n", "m")).alias("shared")).where(F.col("shared") >= need)
-    else:
-        pairs = l.join(r, fits)
-    scored = pairs.select("name", "match", ratio("x", "y").alias("score"))
-    scored = scored.where(F.col("score") >= threshold if inclusive else F.col("score") > threshold)
-    best = scored.groupBy("name").agg(F.min(F.struct(-F.col("score"), F.col("match"))).alias("best"))
-    return exact.unionByName(best.select("name", F.col("best.match").alias("match"), (-F.col("best.col1")).alias("score")))
-
-
-def resolve_company(df: DataFrame, known: DataFrame, name: str, ref: str, threshold: float = 85) -> DataFrame:
-    """name, company, confidence of every distinct name: the best match and ratio / 100, else the name and 0."""
-    found = fuzzy_join(df, known, name, ref, threshold, inclusive=True)
-    names = df.select(F.col(name).alias("name")).where("name is not null").distinct()
-    return names.join(found, "name", "left").select("name", F.coalesce("match", "name").alias("company"), F.coalesce(F.col("score") / 100, F.lit(0.0)).alias("confidence"))
-
-
-def contains_join(names: DataFrame, ref: DataFrame, name: str, key: str, value: str, order: str, default: str = "Unknown") -> DataFrame:
-    """name, value of every distinct name: the exact key's, else of the first key (by order) that holds the name or is held by it.
-
-    ref is a rule list; broadcast joins are left to its size at run time. Works on distinct names only.
-    """
-    n = names.select(F.col(name).alias("name")).where("name is not null and name <> ''").distinct()
-    r = ref.select(F.col(key).alias("k"), F.col(value).alias("v"), F.col(order).alias("o")).where("k is not null and k <> ''")
-    a, b = F.lower("name"), F.lower("k")
-    hits = n.join(r, a.contains(b) | b.contains(a)).groupBy("name").agg(F.min_by("v", F.struct((a != b).cast("int"), "o", "k")).alias("value"))
-    return n.join(hits.hint("shuffle_hash"), "name", "left").select("name", F.coalesce("value", F.lit(default)).alias("value"))

@@ -36,8 +36,7 @@ def dup_sql(keys: str, guard: str = "true") -> str:
 @query("j3_duplicate_groups", " UNION ALL ".join(f"SELECT '{n}' AS key_set, * FROM ({dup_sql(k, g)})" for n, k, g in (("base", "material, source_company, year, quantity_tons", "true"), ("document", "material, source_company, year, quantity_tons, document_id", "true"), ("treatment", "source_company, material, year, treatment_method", "true"), ("guarded", "material, source_company, year, quantity_tons", "material IS NOT NULL AND source_company IS NOT NULL AND year IS NOT NULL AND quantity_tons IS NOT NULL"))))
 def _(t):
     sets = (("base", KEYS, False), ("document", [*KEYS, "document_id"], False), ("treatment", ["source_company", "material", "year", "treatment_method"], False), ("guarded", KEYS, True))
-    parts = [A.duplicate_groups(t.faulty, k, g).select(F.lit(n).alias("key_set"), "n_groups", "n_rows") for n, k, g in sets]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+    return A.duplicate_key_sets(t.faulty, list(sets))
 
 
 @query("j4_pre_upload_audit", checks_sql([(f"null {c}", "critical", NULL(c)) for c in ("material", "source_company", "year")] + [("suspicious material", "warning", "regexp_matches(material, '^[0-9]+$') OR length(material) < 2"), ("extreme quantity", "warning", "quantity_tons > 10000000"), ("non-positive quantity", "critical", "quantity_tons <= 0"), ("future year", "critical", "year > 2026"), ("ancient year", "warning", "year < 1980")], 5, 20))

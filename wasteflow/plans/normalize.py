@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import rules as R
+from ..operators import names as names_of
 from ..operators import normalize as N
 from ..operators.classify import backfill, by_value, classify, sql_case
-from .catalog import query
+from .catalog import best_alike_sql, query
 
 UNIT = "CASE l_linenumber % 5 WHEN 0 THEN 'kg' WHEN 1 THEN 'tons' WHEN 2 THEN 'lbs' WHEN 3 THEN 'tonnes' ELSE 'barrels' END"
 
@@ -80,11 +81,11 @@ def _(t):
     return t.part.select(F.col("p_name").alias("material"), N.title_material(F.replace("p_name", F.lit(" "), F.lit("_"))).alias("title")).distinct()
 
 
-@query("d11_resolve_company")
+@query("d11_resolve_company", f"""WITH n AS (SELECT DISTINCT regexp_replace(c_name, 'Customer#0*', 'Supplier ') AS name FROM {{customer}}), r AS (SELECT DISTINCT regexp_replace(s_name, '#0*', ' ') AS match FROM {{supplier}}),
+    {best_alike_sql(">=")} SELECT n.name, coalesce(match, n.name) AS company, coalesce(score / 100, 0) AS confidence FROM n LEFT JOIN best ON n.name = best.name""")
 def _(t):
-    names = t.customer.select(F.concat(F.lit("Supplier "), F.substring("c_name", -3, 3)).alias("name"))
-    known = t.supplier.select(F.concat(F.lit("Supplier "), F.substring("s_name", -3, 3)).alias("known"))
-    return N.resolve_company(names, known, "name", "known")
+    names = t.customer.select(F.regexp_replace("c_name", "Customer#0*", "Supplier ").alias("name"))
+    return names_of.resolve_company(names, t.supplier.select(F.regexp_replace("s_name", "#0*", " ").alias("known")), "name", "known")
 
 
 @query("d12_chemical_profile", """SELECT id, CASE WHEN contains(material, 'bolt') THEN 'iron' WHEN contains(material, 'ring') THEN 'polymer' WHEN contains(material, 'anvil') THEN 'steel' END AS composition,
@@ -98,7 +99,7 @@ def _(t):
     SELECT n.name, coalesce((SELECT v FROM r WHERE contains(lower(n.name), lower(k)) OR contains(lower(k), lower(n.name)) ORDER BY lower(n.name) <> lower(k), o, k LIMIT 1), 'Unknown') AS value FROM n""")
 def _(t):
     ref = t.supplier.select(F.col("s_suppkey").alias("o"), F.substring("s_name", 1, 17).alias("k"), F.concat(F.lit("industry "), F.col("s_nationkey").cast("string")).alias("v"))
-    return N.contains_join(t.listings, ref, "source_company", "k", "v", "o")
+    return names_of.contains_join(t.listings, ref, "source_company", "k", "v", "o")
 
 
 @query("d14_region_of", """SELECT id, r_name AS region, CAST(r_regionkey * 10 AS DOUBLE) AS region_lat, CAST(r_regionkey * 20 - 40 AS DOUBLE) AS region_lon FROM {listings} JOIN {nation} ON source_country = n_name JOIN {region} ON n_regionkey = r_regionkey""")

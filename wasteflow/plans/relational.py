@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from ..operators import aggregates as A
 from ..operators import joins as J
-from ..operators import normalize as N
-from .catalog import query
+from ..operators import names
+from .catalog import best_alike_sql, query
 
 
 @query("b1_clean_filter", "SELECT id, material, quantity_tons::DOUBLE AS quantity_tons, year FROM {faulty} WHERE material <> '' AND quantity_tons > 0 AND year BETWEEN 1970 AND 2025")
@@ -114,13 +114,14 @@ def _(t):
     SELECT name, coalesce((SELECT v FROM r WHERE contains(name, k) OR contains(k, name) ORDER BY name <> k, o, k LIMIT 1), 'Unknown') AS value FROM n""")
 def _(t):
     ref = t.part.groupBy(F.split_part("p_name", F.lit(" "), F.lit(2)).alias("k")).agg(F.min("p_partkey").alias("o")).withColumn("v", F.col("k"))
-    return N.contains_join(t.listings, ref, "material", "k", "v", "o")
+    return names.contains_join(t.listings, ref, "material", "k", "v", "o")
 
 
-@query("f9_fuzzy_join")
+@query("f9_fuzzy_join", f"""WITH n AS (SELECT DISTINCT split_part(p_name, ' ', 2) || ' ' || split_part(p_name, ' ', 1) AS name FROM {{part}}), r AS (SELECT DISTINCT p_name AS match FROM {{part}}),
+    {best_alike_sql(">")} SELECT name, match, score FROM best""")
 def _(t):
     swapped = t.part.select(F.concat_ws(" ", F.split_part("p_name", F.lit(" "), F.lit(2)), F.split_part("p_name", F.lit(" "), F.lit(1))).alias("name"))
-    return N.fuzzy_join(swapped, t.part.select(F.col("p_name").alias("ref")), "name", "ref")
+    return names.fuzzy_join(swapped, t.part.select(F.col("p_name").alias("ref")), "name", "ref")
 
 
 KNOWN = """WITH w AS (SELECT lower(trim(company)) AS k, keyword, min(ord) AS o FROM {knowledge} GROUP BY 1, 2), w5 AS (SELECT * FROM w QUALIFY row_number() OVER (PARTITION BY k ORDER BY o) <= 5),
@@ -169,6 +170,17 @@ def _(t):
     return J.radius_search(t.listings, 10, 20, 3000).select("id", F.round("distance_km", 3).alias("distance_km"))
 
 
+APART = "2 * 6371.0 * asin(least(sqrt(pow(sin(radians(p.lat - c.lat) / 2), 2) + cos(radians(c.lat)) * cos(radians(p.lat)) * pow(sin(radians(p.lon - c.lon) / 2), 2)), 1.0))"
+PLACE = "CAST(({key} * 7 % 181) - 90 AS DOUBLE) AS lat, CAST(({key} * {step} % 360) - 180 AS DOUBLE) AS lon"
+
+
+@query("f16_radius_join", f"""WITH p AS (SELECT s_suppkey AS id, {PLACE.format(key="s_suppkey", step=11)} FROM {{supplier}}), c AS (SELECT c_custkey AS centre_id, {PLACE.format(key="c_custkey", step=17)} FROM {{customer}})
+    SELECT centre_id, id, round({APART}, 3) AS distance_km FROM p JOIN c ON {APART} <= 400""")
+def _(t):
+    p, c = t.sql(f"SELECT s_suppkey AS id, {PLACE.format(key='s_suppkey', step=11)} FROM {{supplier}}"), t.sql(f"SELECT c_custkey AS centre_id, {PLACE.format(key='c_custkey', step=17)} FROM {{customer}}")
+    return J.radius_join(p, c, 400).select("centre_id", "id", F.round("distance_km", 3).alias("distance_km"))
+
+
 @query("f17_industry_location_grid", "SELECT industry, country FROM (SELECT DISTINCT p_type AS industry FROM {part}) CROSS JOIN (SELECT n_name AS country FROM {nation})")
 def _(t):
     return t.part.select(F.col("p_type").alias("industry")).distinct().join(F.broadcast(t.nation.select(F.col("n_name").alias("country"))), F.lit(True))

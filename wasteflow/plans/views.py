@@ -14,13 +14,12 @@ VIEWS = {
       CAST((l_suppkey % 180) - 90 AS DOUBLE) AS lat, CAST((l_suppkey * 7 % 360) - 180 AS DOUBLE) AS lon
       FROM {lineitem} JOIN {part} ON l_partkey=p_partkey JOIN {supplier} ON l_suppkey=s_suppkey
       JOIN {nation} ON s_nationkey=n_nationkey JOIN {region} ON n_regionkey=r_regionkey""",
-    "faulty": """SELECT id, document_id, CASE WHEN id % 97 = 0 THEN NULL ELSE material END AS material,
-      CASE WHEN id % 101 = 0 THEN -quantity_tons ELSE quantity_tons END AS quantity_tons, treatment_method, source_company, source_industry,
-      CASE WHEN id % 89 = 0 THEN 'Unknown' ELSE source_location END AS source_location, source_country,
-      CAST(CASE WHEN id % 103 = 0 THEN 2031 ELSE year END AS INT) AS year, extraction_confidence,
-      CASE WHEN id % 107 = 0 THEN concat('caf', chr(195), chr(169), ' ', source_quote) ELSE source_quote END AS source_quote, lat, lon FROM {listings}
-      UNION ALL SELECT id + 1000000000000000, document_id, material, quantity_tons, treatment_method, source_company, source_industry, source_location,
-      source_country, year, extraction_confidence, source_quote, lat, lon FROM {listings} WHERE id % 50 = 0""",
+    "faulty": """SELECT id + copy * 1000000000000000 AS id, document_id, CASE WHEN copy = 0 AND id % 97 = 0 THEN NULL ELSE material END AS material,
+      CASE WHEN copy = 0 AND id % 101 = 0 THEN -quantity_tons ELSE quantity_tons END AS quantity_tons, treatment_method, source_company, source_industry,
+      CASE WHEN copy = 0 AND id % 89 = 0 THEN 'Unknown' ELSE source_location END AS source_location, source_country,
+      CAST(CASE WHEN copy = 0 AND id % 103 = 0 THEN 2031 ELSE year END AS INT) AS year, extraction_confidence,
+      CASE WHEN copy = 0 AND id % 107 = 0 THEN concat('caf', chr(195), chr(169), ' ', source_quote) ELSE source_quote END AS source_quote, lat, lon
+      FROM {listings} CROSS JOIN (VALUES (0), (1)) AS c(copy) WHERE copy = 0 OR id % 50 = 0""",
     "queue": """SELECT event_id AS id, concat('src', CAST(user_id%5 AS STRING)) AS source,
       CASE event_type WHEN 'view' THEN 'pending' WHEN 'click' THEN 'processing' WHEN 'error' THEN 'failed' WHEN 'signup' THEN 'completed_no_data' ELSE 'completed' END AS status,
       ts AS ingested_at, value AS size_bytes FROM {events}""",
