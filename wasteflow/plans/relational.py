@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from ..operators import aggregates as A
 from ..operators import joins as J
 from ..operators import names
+from ..sources.shared import new_folder
+from ..sources.versioned import VersionedTable
 from .catalog import best_alike_sql, query
 
 
@@ -191,3 +193,16 @@ def _(t):
 def _(t):
     source = t.customer.selectExpr("c_custkey + 500 AS c_custkey", "CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE concat(c_name, ' new') END AS c_name", "c_custkey AS v")
     return J.upsert(t.customer.select("c_custkey", "c_name"), source, ["c_custkey"], "v", "coalesce")
+
+
+@query("f18_versioned_upsert", """WITH s AS (SELECT c_custkey + 500 AS c_custkey, CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE c_name || ' new' END AS c_name FROM {customer})
+    SELECT coalesce(t.c_custkey, s.c_custkey) AS c_custkey, coalesce(s.c_name, t.c_name) AS c_name, 3::BIGINT AS version FROM (SELECT c_custkey, c_name FROM {customer} UNION ALL SELECT -1, 'appended') t FULL JOIN s ON t.c_custkey = s.c_custkey""")
+def _(t):
+    """A table written, appended to and upserted, each as a version that readers see whole."""
+    table = VersionedTable(t.spark, new_folder(t.spark, "customers"))
+    rows = t.customer.select("c_custkey", "c_name")
+    table.overwrite(rows)
+    table.append(rows.limit(1).select(F.lit(-1).cast(dict(rows.dtypes)["c_custkey"]).alias("c_custkey"), F.lit("appended").alias("c_name")))
+    source = t.customer.selectExpr("c_custkey + 500 AS c_custkey", "CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE concat(c_name, ' new') END AS c_name", "c_custkey AS v")
+    version = table.upsert(source, ["c_custkey"], "v", "coalesce")
+    return table.read(version).withColumn("version", F.lit(version).cast("long"))
