@@ -1,4 +1,7 @@
-"""Text and HTML cleaning as column expressions; Unicode forms need Python and touch only rows with non-ASCII text."""
+"""Text and HTML cleaning as column expressions.
+
+Unicode forms need Python; it gets the texts that are not ASCII, and nulls for all others.
+"""
 
 from __future__ import annotations
 
@@ -9,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import rules as R
+from ..sources.markup import decode_references, once
 
 
 def strip_noise_elements(html: Column) -> Column:
@@ -17,15 +21,9 @@ def strip_noise_elements(html: Column) -> Column:
     return html
 
 
-ENTITIES = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&"))
-
-
-def strip_html_basic(html: Column, entities: bool = True) -> Column:
-    """Tags become spaces; then the common entities their characters."""
-    text = F.regexp_replace(html, "<[^>]+>", " ")
-    for e, c in ENTITIES if entities else ():
-        text = F.replace(text, F.lit(e), F.lit(c))
-    return text
+def strip_html_basic(html: Column) -> Column:
+    """Tags become spaces; then all character references their characters."""
+    return decode_references(F.regexp_replace(html, "<[^>]+>", " "))
 
 
 def remove_text_noise(text: Column) -> Column:
@@ -48,8 +46,12 @@ def unicode_form(form: str):
     return normal
 
 
+def in_form(text: Column, form: str) -> Column:
+    return F.coalesce(unicode_form(form)(F.when(text.rlike(r"[^\x00-\x7F]"), text)), text)
+
+
 def normalize_unicode(text: Column) -> Column:
-    return plain_chars(F.when(text.rlike(r"[^\x00-\x7F]"), unicode_form("NFC")(text)).otherwise(text))
+    return plain_chars(in_form(text, "NFC"))
 
 
 def clean_whitespace(text: Column) -> Column:
@@ -68,9 +70,13 @@ def clean_text(text: Column) -> Column:
 
 def main_block(html: Column) -> Column:
     """The article's content, else the paragraphs', else the whole."""
-    article = F.regexp_extract(html, r"(?is)<article[^>]*>(.*?)</article>", 1)
-    paragraphs = F.array_join(F.regexp_extract_all(html, F.lit(r"(?is)<p[^>]*>(.*?)</p>"), 1), "\n")
-    return F.when(article != "", article).when(paragraphs != "", paragraphs).otherwise(html)
+
+    def main(h: Column) -> Column:
+        article = F.regexp_extract(h, r"(?is)<article[^>]*>(.*?)</article>", 1)
+        paragraphs = F.array_join(F.regexp_extract_all(h, F.lit(r"(?is)<p[^>]*>(.*?)</p>"), 1), "\n")
+        return F.coalesce(once(article, lambda a: F.when(a != "", a)), once(paragraphs, lambda p: F.when(p != "", p)), h)
+
+    return once(html, main)
 
 
 def clean_html(html: Column) -> Column:
@@ -78,7 +84,7 @@ def clean_html(html: Column) -> Column:
 
 
 def training_clean(text: Column) -> Column:
-    text = F.when(text.rlike(r"[^\x00-\x7F]"), unicode_form("NFKC")(text)).otherwise(text)
+    text = in_form(text, "NFKC")
     return F.trim(F.regexp_replace(F.regexp_replace(text, r"[\p{C}&&[^\n\t]]", ""), r"\s+", " "))
 
 
@@ -88,9 +94,13 @@ def mojibake_flag(text: Column) -> Column:
 
 def fix_mojibake(text: Column) -> Column:
     """UTF-8 read as Latin-1 is read again as UTF-8 where that gives valid text."""
-    latin = ~text.rlike("[^\\x00-\\xFF]")
-    raw = F.encode(F.regexp_replace(text, "[^\\x00-\\xFF]", ""), "ISO-8859-1")
-    return F.when(mojibake_flag(text) & latin & F.is_valid_utf8(raw.cast("string")), raw.cast("string")).otherwise(text)
+
+    def fixed(t: Column) -> Column:
+        latin = ~t.rlike("[^\\x00-\\xFF]")
+        raw = F.encode(F.regexp_replace(t, "[^\\x00-\\xFF]", ""), "ISO-8859-1").cast("string")
+        return F.coalesce(F.when(mojibake_flag(t) & latin, once(raw, lambda r: F.when(F.is_valid_utf8(r), r))), t)
+
+    return once(text, fixed)
 
 
 def content_dedup(df: DataFrame, column: str, order: str) -> DataFrame:

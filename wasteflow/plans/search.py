@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import vectors as V
+from ..sources import markup as M
 from ..sources import readers as S
 from .catalog import query
 
@@ -109,9 +110,27 @@ def _(t):
     return t.part.select("p_partkey", S.is_valid_material(F.expr("CASE WHEN p_size % 3 = 0 THEN 'Price ' ELSE p_name END")).alias("valid"))
 
 
-@query("a16_harvest_links", """SELECT DISTINCT page_url, regexp_extract(page_url, '^([a-zA-Z]+://[^/?#]+)', 1) || href AS link FROM (SELECT url AS page_url, unnest(regexp_extract_all(html, 'href="([^"#]+)"', 1)) AS href FROM {pages}) WHERE href LIKE '/%'""")
+# Links of every form, and where they lead from <root>/a/b/<id>.html?x=1.
+FORMS = """concat('<a href="//cdn.b.com/', {id}, '.pdf">', "<a class=x HREF='../q", {id}, ".pdf#p2'>", '<a href=?d=', {id}, '.pdf>', '<link href = "./c/../d.pdf">', '<a href="/r/./s.pdf">', '<a href="HTTPS://x.org/../z.pdf">',
+    '<a href=" e.pdf?a=1&amp;b=2.pdf ">', '<a href="../../../../up.pdf">', '<a href="#top"><a href=""><a data-href="no.pdf">', '<a href="f/..">')"""
+LED = """SELECT page_url, unnest([regexp_extract(root, '^[a-z]+:') || '//cdn.b.com/' || page_id || '.pdf', root || '/a/q' || page_id || '.pdf', root || '/a/b/' || page_id || '.html?d=' || page_id || '.pdf', root || '/a/b/d.pdf', root || '/r/s.pdf', 'HTTPS://x.org/../z.pdf',
+    root || '/a/b/e.pdf?a=1&b=2.pdf', root || '/up.pdf', root || '/a/b/']) AS link FROM p"""
+
+
+@query("a16_harvest_links", f"""WITH p AS (SELECT page_id, html, regexp_extract(url, '^([a-zA-Z]+://[^/?#]+)', 1) AS root, regexp_extract(url, '^([a-zA-Z]+://[^/?#]+)', 1) || '/a/b/' || page_id || '.html?x=1' AS page_url FROM {{pages}})
+    {LED} UNION SELECT page_url, root || href FROM (SELECT page_url, root, unnest(regexp_extract_all(html, ' href="(/[^"#]+)"', 1)) AS href FROM p)""")
+def _(t):
+    page = t.pages.select(F.concat(F.regexp_extract("url", "^([a-zA-Z]+://[^/?#]+)", 1), F.lit("/a/b/"), "page_id", F.lit(".html?x=1")).alias("page_url"), F.concat("html", F.expr(FORMS.replace("{id}", "page_id"))).alias("html"))
+    return M.harvest_links(page, "html", "page_url")
+
+
+ELEMENTS = "concat('<html><body><div class=menu>Value list<br></div><ul><li>', p_name, ' <div class=\"unit Market-RATE\"><i>$', CAST(p_size AS STRING), '</i>/lb &amp; up</div></li></ul></body>')"
+
+
+@query("a13_price_elements", "SELECT p_partkey, p_name AS material, '$' || p_size::VARCHAR || '/lb & up' AS price_text FROM {part}")
 def _(t):
-    return S.harvest_links(t.pages, "html", "url").where("link like concat(regexp_extract(page_url, '^([a-zA-Z]+://[^/?#]+)', 1), '/%')")
+    found = M.extract_price_elements(t.part.select("p_partkey", F.expr(ELEMENTS).alias("html")), "html")
+    return found.where(S.is_valid_material(F.col("material"))).select("p_partkey", "material", "price_text")
 
 
 @query("a17_year_from_name", "SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN 2019 ELSE 2011 END::INT AS year FROM {documents}")

@@ -17,9 +17,14 @@ def _(t):
     return t.pages.select("page_id", T.strip_noise_elements(F.col("html")).alias("html"))
 
 
-@query("c2_strip_html_basic", "SELECT page_id, regexp_replace(html, '<[^>]+>', ' ', 'g') AS text FROM {pages}")
+# References of all kinds, and what they stand for.
+REFERENCES = "&eacute;&#233;&#xE9;&#XE9 &copy 2024 &amp;lt;&notit;&unknown; & &#x80;&#0;&#x1F600;&#xD800;&lt;b&gt;&ZeroWidthSpace;"
+DECODED = "éééé © 2024 &lt;¬it;&unknown; & €\ufffd😀\ufffd<b>\u200b"
+
+
+@query("c2_strip_html_basic", f"SELECT page_id, replace(replace(replace(replace(regexp_replace(html, '<[^>]+>', ' ', 'g'), '&copy;', '©'), '&middot;', '·'), '&quot;', '\"'), '&amp;', '&') || ' {DECODED}' AS text FROM {{pages}}")
 def _(t):
-    return t.pages.select("page_id", T.strip_html_basic(F.col("html"), False).alias("text"))
+    return t.pages.select("page_id", T.strip_html_basic(F.concat("html", F.lit(f" {REFERENCES}"))).alias("text"))
 
 
 QUIET = "'Skip to content. ' || text || ' Follow us on'"
@@ -47,12 +52,31 @@ def _(t):
     return t.documents.select("doc_id", T.remove_control_chars(F.concat(F.col("text"), F.lit("a\x07​b"))).alias("text"))
 
 
-@query("c7_clean_text")
+def clean_sql(text: str) -> str:
+    """clean_text of texts without mojibake."""
+    for p in T.R.NOISE_TEXT:
+        text = f"regexp_replace({text}, '{p}', '', 'gi')"
+    text = f"nfc_normalize({text})"
+    for a, b in T.R.PLAIN_CHARS:
+        text = f"replace({text}, '{a.replace(chr(39), chr(39) * 2)}', '{b.replace(chr(39), chr(39) * 2)}')"
+    text = f"regexp_replace(regexp_replace(replace({text}, chr(9), ' '), ' +', ' ', 'g'), '\\n{{{{3,}}}}', chr(10) || chr(10), 'g')".replace("{{", "{").replace("}}", "}")
+    return f"trim(regexp_replace({text}, '[^\\P{{C}}\\n\\t]|[\\p{{Zl}}\\p{{Zp}}]', '', 'g'))"
+
+
+NOISY = "text || ' Skip to content.  \t \u201cÅ\u201d\u2014\u200b\u2028x Follow us on '"
+
+
+@query("c7_clean_text", f"SELECT doc_id, {clean_sql('(' + NOISY + ')')} AS text FROM {{documents}}")
 def _(t):
-    return t.documents.select("doc_id", T.clean_text(F.col("text")).alias("text"))
+    return t.documents.select("doc_id", T.clean_text(F.concat("text", F.lit(NOISY.split("'")[1]))).alias("text"))
+
+
+MAIN = """CASE WHEN regexp_extract(h, '<article[^>]*>(.*?)</article>', 1, 'is') <> '' THEN regexp_extract(h, '<article[^>]*>(.*?)</article>', 1, 'is')
+    WHEN array_to_string(regexp_extract_all(h, '<p[^>]*>(.*?)</p>', 1, 'is'), chr(10)) <> '' THEN array_to_string(regexp_extract_all(h, '<p[^>]*>(.*?)</p>', 1, 'is'), chr(10)) ELSE h END"""
+PLAIN = "replace(replace(replace(replace(regexp_replace(m, '<[^>]+>', ' ', 'g'), '&copy;', '©'), '&middot;', '·'), '&quot;', '\"'), '&amp;', '&')"
 
 
-@query("c8_clean_html")
+@query("c8_clean_html", f"WITH n AS (SELECT page_id, {NOISE} AS h FROM {{pages}}), b AS (SELECT page_id, {MAIN} AS m FROM n) SELECT page_id, {clean_sql(PLAIN)} AS text FROM b")
 def _(t):
     return t.pages.select("page_id", T.clean_html(F.col("html")).alias("text"))
 

@@ -117,15 +117,6 @@ def is_valid_material(c: Column) -> Column:
     return F.coalesce(F.length(F.trim(c)).between(2, 100) & ~F.lower(F.trim(c)).isin(*HEADER_WORDS), F.lit(False))
 
 
-def harvest_links(pages: DataFrame, html: str, url: str, suffix: str = "") -> DataFrame:
-    """page url and distinct links with the suffix: absolute, from the host's root, or beside the page."""
-    d = pages.select(F.col(url).alias("page_url"), F.explode(F.regexp_extract_all(html, F.lit(r"""(?i)href=["']([^"'#]+)["']"""), 1)).alias("href"))
-    root = F.regexp_extract("page_url", r"^([a-zA-Z]+://[^/?#]+)", 1)
-    beside = F.concat(F.regexp_extract("page_url", r"^([a-zA-Z]+://[^?#]*/)", 1), F.col("href"))
-    link = F.when(F.col("href").rlike("^[a-zA-Z]+://"), F.col("href")).when(F.col("href").startswith("/"), F.concat(root, F.col("href"))).otherwise(beside)
-    return d.select("page_url", link.alias("link")).where(F.lower("link").endswith(suffix)).distinct()
-
-
 def year_from_name(name: Column, text: Column) -> Column:
     """20[0-2]x in the name, else the last one in the whole text."""
     inside = F.regexp_extract_all(text, F.lit(r"(20[0-2]\d)"), 1)
