@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.shared import written
+
 MOJIBAKE = r"Ã|ï¿½|â€"
 
 
@@ -20,9 +22,13 @@ def checks(df: DataFrame, rules: list[tuple[str, str, Column]], ok: float, warn:
     return one.withColumn("pct", pct).withColumn("status", F.when(pct < ok, "OK").when(pct < warn, "WARN").otherwise("BAD"))
 
 
+def null_rules(fields: list[str], also: tuple[str, ...] = ()) -> list[tuple[str, str, Column]]:
+    return [(f, "critical", missing(f) | F.col(f).cast("string").isin(*also) if also else missing(f)) for f in fields]
+
+
 def null_report(df: DataFrame, fields: list[str], also: tuple[str, ...] = ()) -> DataFrame:
     """Fields that are null, empty or one of `also`: OK below 5 percent, WARN below 50."""
-    return checks(df, [(f, "critical", missing(f) | F.col(f).cast("string").isin(*also) if also else missing(f)) for f in fields], 5, 50)
+    return checks(df, null_rules(fields, also), 5, 50)
 
 
 def duplicate_groups(df: DataFrame, keys: list[str], guard: bool = False) -> DataFrame:
@@ -53,11 +59,15 @@ def duplicate_key_sets(df: DataFrame, sets: list[tuple[str, list[str], bool]]) -
     return groups.agg(F.array(*counted).alias("s")).select(F.explode("s").alias("s")).select("s.*")
 
 
-def pre_upload_audit(df: DataFrame, this_year: int = 2026) -> DataFrame:
+def upload_rules(this_year: int = 2026) -> list[tuple[str, str, Column]]:
     m, q, y = F.col("material"), F.col("quantity_tons"), F.col("year")
     rules = [(f"null {c}", "critical", missing(c)) for c in ("material", "source_company", "year")]
     rules += [("suspicious material", "warning", m.rlike("^[0-9]+$") | (F.length(m) < 2)), ("extreme quantity", "warning", q > 10_000_000), ("non-positive quantity", "critical", q <= 0), ("future year", "critical", y > this_year), ("ancient year", "warning", y < 1980)]
-    return checks(df, rules, 5, 20)
+    return rules
+
+
+def pre_upload_audit(df: DataFrame, this_year: int = 2026) -> DataFrame:
+    return checks(df, upload_rules(this_year), 5, 20)
 
 
 def quick_quality(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -68,19 +78,48 @@ def quick_quality(df: DataFrame, keys: list[str]) -> DataFrame:
     return out.withColumn("verdict", F.when((F.col("n_groups") < 100) & (F.col("null_pct") < 5) & (F.col("bad_pct") < 10), "OK").otherwise("REVIEW"))
 
 
+def stress_rules() -> list[tuple[str, str, Column]]:
+    return [("year range", "error", ~F.col("year").between(1980, 2026)), ("too large", "error", F.col("quantity_tons") > 1e8), ("negative", "error", F.col("quantity_tons") < 0), ("mojibake", "warning", F.col("source_quote").rlike(MOJIBAKE))]
+
+
 def stress_test(df: DataFrame, orphaned: DataFrame) -> DataFrame:
     """Year range, greatest quantity, negatives, mojibake; orphans come from a table of orphaned rows."""
-    rules = [("year range", "error", ~F.col("year").between(1980, 2026)), ("too large", "error", F.col("quantity_tons") > 1e8), ("negative", "error", F.col("quantity_tons") < 0), ("mojibake", "warning", F.col("source_quote").rlike(MOJIBAKE))]
     total = df.agg(F.count("*").alias("total"))
     o = orphaned.agg(F.count("*").alias("failures")).join(F.broadcast(total), F.lit(True))
     pct = F.coalesce(F.try_divide(100.0 * F.col("failures"), F.col("total")), F.lit(0.0))
     row = o.select(F.lit("orphans").alias("check"), F.lit("error").alias("severity"), "failures", "total", pct.alias("pct"), F.when(F.col("failures") == 0, "OK").otherwise("BAD").alias("status"))
-    return checks(df, rules, 1e-12, 1).unionByName(row)
+    return checks(df, stress_rules(), 1e-12, 1).unionByName(row)
 
 
-def integrity_audit(df: DataFrame) -> DataFrame:
+def integrity_rules() -> list[tuple[str, str, Column]]:
     rules = [(f"null {c}", "critical", missing(c)) for c in ("material", "source_company", "source_location", "year")]
-    return checks(df, [*rules, ("hazardous landfilled", "warning", F.lower("material").contains("hazard") & F.lower("treatment_method").contains("landfill"))], 5, 20)
+    return [*rules, ("hazardous landfilled", "warning", F.lower("material").contains("hazard") & F.lower("treatment_method").contains("landfill"))]
+
+
+def integrity_audit(df: DataFrame) -> DataFrame:
+    return checks(df, integrity_rules(), 5, 20)
+
+
+def listing_audits(df: DataFrame, docs: DataFrame, fields: list[str], sets: list[tuple[str, list[str], bool]]) -> DataFrame:
+    """All audits of listings in one report: audit, check, failures, total, pct, status.
+
+    df is written once with the columns that audits read. One aggregate over it counts all rules, one the groups of all key sets
+    (failures: keys with several rows, total: their rows), and one the orphans, by document.
+    """
+    used = [*fields, *(c for _, k, _ in sets for c in k), "material", "source_company", "source_location", "year", "quantity_tons", "source_quote", "treatment_method", "document_id"]
+    rows = written(df.select(*dict.fromkeys(used)), "audited")
+    bad = (F.col("quantity_tons") <= 0) | (F.col("year") > 2026)
+    audits = [("null_report", null_rules(fields), 5, 50), ("completeness", null_rules(fields, ("Unknown",)), 5, 50), ("pre_upload", upload_rules(), 5, 20), ("quick_quality", [("null material", "", missing("material")), ("bad values", "", bad)], 5, 10), ("stress", stress_rules(), 1e-12, 1), ("integrity", integrity_rules(), 5, 20)]
+    rules = [(a, n, c, ok, warn) for a, part, ok, warn in audits for n, _, c in part]
+    counted = [F.struct(F.lit(a).alias("audit"), F.lit(n).alias("check"), F.count_if(F.coalesce(c, F.lit(False))).alias("failures"), F.lit(float(ok)).alias("ok"), F.lit(float(warn)).alias("warn")) for a, n, c, ok, warn in rules]
+    one = rows.agg(F.count("*").alias("total"), F.array(*counted).alias("c")).select("total", F.explode("c").alias("c")).select("c.*", "total")
+    keys = duplicate_key_sets(rows, sets).select(F.lit("duplicates").alias("audit"), F.col("key_set").alias("check"), F.col("n_groups").alias("failures"), F.lit(None).cast("double").alias("ok"), F.lit(None).cast("double").alias("warn"), F.col("n_rows").alias("total"))
+    by_document = rows.groupBy("document_id").agg(F.count("*").alias("n")).join(docs.select(F.col("id").alias("document_id"), F.lit(True).alias("there")).distinct().hint("merge"), "document_id", "left")
+    orphans = by_document.agg(F.coalesce(F.sum(F.when(F.col("there").isNull() & F.col("document_id").isNotNull(), F.col("n"))), F.lit(0)).alias("failures"), F.coalesce(F.sum("n"), F.lit(0)).alias("total"))
+    orphans = orphans.select(F.lit("stress").alias("audit"), F.lit("orphans").alias("check"), "failures", F.lit(1e-12).alias("ok"), F.lit(0.0).alias("warn"), "total")
+    pct = F.when(F.col("ok").isNotNull(), F.coalesce(F.try_divide(100.0 * F.col("failures"), F.col("total")), F.lit(0.0)))
+    status = F.when(F.col("ok").isNull(), F.when(F.col("failures") < 100, "OK").otherwise("REVIEW")).when(F.col("pct") < F.col("ok"), "OK").when(F.col("pct") < F.col("warn"), "WARN").otherwise("BAD")
+    return one.unionByName(keys).unionByName(orphans).withColumn("pct", pct).withColumn("status", status).select("audit", "check", "failures", "total", "pct", "status")
 
 
 def polarity_check(df: DataFrame, liabilities: str) -> DataFrame:

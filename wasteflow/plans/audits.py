@@ -35,8 +35,7 @@ def dup_sql(keys: str, guard: str = "true") -> str:
 
 @query("j3_duplicate_groups", " UNION ALL ".join(f"SELECT '{n}' AS key_set, * FROM ({dup_sql(k, g)})" for n, k, g in (("base", "material, source_company, year, quantity_tons", "true"), ("document", "material, source_company, year, quantity_tons, document_id", "true"), ("treatment", "source_company, material, year, treatment_method", "true"), ("guarded", "material, source_company, year, quantity_tons", "material IS NOT NULL AND source_company IS NOT NULL AND year IS NOT NULL AND quantity_tons IS NOT NULL"))))
 def _(t):
-    sets = (("base", KEYS, False), ("document", [*KEYS, "document_id"], False), ("treatment", ["source_company", "material", "year", "treatment_method"], False), ("guarded", KEYS, True))
-    return A.duplicate_key_sets(t.faulty, list(sets))
+    return A.duplicate_key_sets(t.faulty, SETS)
 
 
 @query("j4_pre_upload_audit", checks_sql([(f"null {c}", "critical", NULL(c)) for c in ("material", "source_company", "year")] + [("suspicious material", "warning", "regexp_matches(material, '^[0-9]+$') OR length(material) < 2"), ("extreme quantity", "warning", "quantity_tons > 10000000"), ("non-positive quantity", "critical", "quantity_tons <= 0"), ("future year", "critical", "year > 2026"), ("ancient year", "warning", "year < 1980")], 5, 20))
@@ -61,6 +60,19 @@ def _(t):
     return A.integrity_audit(t.faulty)
 
 
+SETS = [("base", KEYS, False), ("document", [*KEYS, "document_id"], False), ("treatment", ["source_company", "material", "year", "treatment_method"], False), ("guarded", KEYS, True)]
+UPLOAD = [(f"null {c}", "", NULL(c)) for c in ("material", "source_company", "year")] + [("suspicious material", "", "regexp_matches(material, '^[0-9]+$') OR length(material) < 2"), ("extreme quantity", "", "quantity_tons > 10000000"), ("non-positive quantity", "", "quantity_tons <= 0"), ("future year", "", "year > 2026"), ("ancient year", "", "year < 1980")]
+STRESS = [("year range", "", "year NOT BETWEEN 1980 AND 2026"), ("too large", "", "quantity_tons > 100000000"), ("negative", "", "quantity_tons < 0"), ("mojibake", "", "regexp_matches(source_quote, 'Ã|ï¿½|â€')"), ("orphans", "", "document_id NOT IN (SELECT id FROM {docs})")]
+INTEGRITY = [(f"null {c}", "", NULL(c)) for c in ("material", "source_company", "source_location", "year")] + [("hazardous landfilled", "", "contains(lower(material), 'hazard') AND contains(lower(treatment_method), 'landfill')")]
+EVERY = [("null_report", [(f, "", NULL(f)) for f in FIELDS], 5, 50), ("completeness", [(f, "", f"{NULL(f)} OR {f}::VARCHAR = 'Unknown'") for f in FIELDS], 5, 50), ("pre_upload", UPLOAD, 5, 20), ("quick_quality", [("null material", "", NULL("material")), ("bad values", "", "quantity_tons <= 0 OR year > 2026")], 5, 10), ("stress", STRESS, 1e-12, 1), ("integrity", INTEGRITY, 5, 20)]
+DUPLICATES = " UNION ALL ".join(f"SELECT 'duplicates' AS audit, '{n}' AS \"check\", n_groups AS failures, n_rows AS total, NULL::DOUBLE AS pct, CASE WHEN n_groups < 100 THEN 'OK' ELSE 'REVIEW' END AS status FROM ({dup_sql(', '.join(k), ' AND '.join(c + ' IS NOT NULL' for c in k) if g else 'true')})" for n, k, g in SETS)
+
+
+@query("j_listing_audits", " UNION ALL ".join(f"SELECT '{a}' AS audit, \"check\", failures, total, pct, CASE WHEN \"check\" = 'orphans' AND failures > 0 THEN 'BAD' ELSE status END AS status FROM ({checks_sql(r, ok, warn)})" for a, r, ok, warn in EVERY) + " UNION ALL " + DUPLICATES)
+def _(t):
+    return A.listing_audits(t.faulty, t.docs, FIELDS, SETS)
+
+
 PRICED = "(SELECT *, CASE WHEN id % 7 = 0 THEN 0 WHEN id % 11 = 0 THEN -5 ELSE 100 END AS price, id % 13 = 0 AS unsafe, id % 4 = 0 AS verified, CASE WHEN id % 5 = 0 THEN 'Toxic dust' ELSE 'inert' END AS profile FROM {faulty})"
 
 
