@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import vectors as V
+from ..sources import files
 from ..sources import markup as M
 from ..sources import readers as S
+from ..sources.shared import new_folder
 from .catalog import query
 
 
@@ -19,6 +21,26 @@ def _(t):
     return lines.select(F.from_csv("line", schema.simpleString()[7:-1].replace(":", " ")).alias("r")).select("r.*")
 
 
+@query("a1_read_files", """SELECT l_orderkey, l_linenumber, CASE WHEN l_orderkey % 3 = 2 AND l_linenumber = 2 THEN NULL ELSE l_partkey END AS l_partkey, CASE WHEN l_orderkey % 3 = 1 THEN 'café ' || l_linenumber WHEN l_orderkey % 3 = 0 THEN 'a, "b"' END AS note,
+    l_orderkey % 3 = 2 AND l_linenumber = 2 AS ragged FROM {lineitem}""")
+def _(t):
+    """Chunks of three forms, written to the shared folder and read as one: commas, semicolons in Latin-1 with other columns, tabs with short lines."""
+    folder = new_folder(t.spark, "listings")
+    part = lambda n: t.lineitem.where(f"l_orderkey % 3 = {n}")
+    part(0).select("l_orderkey", "l_linenumber", "l_partkey", F.lit('a, "b"').alias("note")).write.csv(f"{folder}/a", header=True, escape='"')
+    part(1).select(F.concat(F.lit("café "), "l_linenumber").alias("NOTE"), F.col("l_partkey").alias(" L_PartKey"), "l_linenumber", "l_orderkey").write.csv(f"{folder}/b", header=True, sep=";", encoding="ISO-8859-1")
+    line = F.concat_ws("\t", "l_orderkey", "l_linenumber", F.expr("IF(l_linenumber = 2, NULL, l_partkey)"))
+    part(2).select(line.alias("l_orderkey\tl_linenumber\tl_partkey")).write.csv(f"{folder}/c", header=True, sep="\x01", quote="")
+    rows = files.read_listing_files(t.spark, f"{folder}/*")
+    return rows.select(*[F.col(c).cast("long").alias(c) for c in ("l_orderkey", "l_linenumber", "l_partkey")], "note", F.col("bad_line").isNotNull().alias("ragged"))
+
+
+@query("a19_json_records", "SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN doc_id % 5 WHEN 1 THEN 1 END AS records FROM {documents}")
+def _(t):
+    text = F.expr("CASE doc_id % 3 WHEN 0 THEN concat('[', array_join(transform(sequence(1, 5), i -> IF(i <= doc_id % 5, to_json(named_struct('id', i, 'source', source)), NULL)), ','), ']') WHEN 1 THEN to_json(named_struct('text', text)) ELSE concat('{', lang) END")
+    return t.documents.select("doc_id", files.json_records(text).alias("records"))
+
+
 @query("a2_map_headers", "SELECT o_orderkey AS year, o_orderpriority AS company, o_clerk AS material FROM (SELECT o_orderkey, o_orderpriority, o_orderstatus AS o_clerk FROM {orders})")
 def _(t):
     df = t.orders.select(F.col("o_orderkey").alias("1. YEAR"), F.col("o_orderpriority").alias("4. Facility Name"), F.col("o_orderstatus").alias("37. CHEMICAL"))
