@@ -198,3 +198,53 @@ def test_chunks_and_years_reach_the_end_of_the_text(spark):
     assert all("".join(c) == texts[i] for i, c in out.items())
     late = spark.createDataFrame([("report.pdf", "in 2011 " + "x" * 3000 + " 2017 end")], "name string, text string")
     assert late.select(S.year_from_name(F.col("name"), F.col("text")).alias("y")).first()["y"] == 2017
+
+
+def test_mapping_tables(spark):
+    from wasteflow import material_tables as M
+
+    rows = spark.createDataFrame([(m,) for m in ("non-hazardous waste", "petroleum", "Copper wire", "iron alloy (cast iron)", "moon dust", "battery lead", None)], "m string")
+
+    def got(mode, rules):
+        return {r["material"]: (r["material_type_id"], r["match_confidence"]) for r in P.map_materials(rows, "m", mode, rules).collect()}
+
+    tiered, smart, best = got("tiered", M.TIERED_RULES), got("smart", M.SMART_RULES), got("best", M.BEST_RULES)
+    assert tiered["non-hazardous waste"] == ("CHEM-HAZ", 0.6) and tiered["moon dust"] == ("CHEM-NONHAZ", 0.4) and tiered["Copper wire"] == ("CU-BAREBRGHT", 0.8)
+    assert smart["petroleum"] == ("PLASTICS", 0.9) and smart["moon dust"] == ("UNCLASSIFIED", 0.4)
+    assert best["Copper wire"] == ("CU-BAREBRGHT", 0.95) and best["battery lead"] == ("PB-SOLID", 0.95) and "moon dust" not in best
+    assert len(M.CATEGORY_PRICES) == 31 and {label for label, _ in M.SMART_RULES} <= {c for c, _ in M.CATEGORY_PRICES}
+
+
+def test_quantities_are_rewritten(spark):
+    texts = ["1,234.5 kg and 2 tons, 7 barrels", "no unit 5", "10 Metric Tons|100 tonnes", None, ""]
+    out = [r["t"] for r in spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").select("i", N.rewrite_quantities(F.col("t")).alias("t")).orderBy("i").collect()]
+    assert out[0].startswith("1.2345 metric_ton and ") and out[0].endswith(" metric_ton, 7 barrels")
+    assert out[1:] == ["no unit 5", "10 metric_ton|100 metric_ton", None, ""]
+
+
+def test_exact_median(spark):
+    import random
+    import statistics
+
+    rng = random.Random(3)
+    for values in ([], [5.0], [2.0, 1.0], [rng.gauss(0, 1e9) for _ in range(301)], [rng.choice([0.0, -0.5, 1e-300, 3.0]) for _ in range(200)], [1e308, -1e308, 1.0, 1.0000000000000002], [1.0 + i * 2**-52 for i in range(50)] * 3):
+        df = spark.createDataFrame([(v,) for v in [*values, None]], "v double")
+        assert A.exact_median(df, F.col("v")).first()["median"] == (statistics.median(values) if values else None)
+
+
+def test_radius_join_at_poles_and_antimeridian(spark):
+    import itertools
+    import math
+
+    places = [(90.0, 0.0), (-90.0, 10.0), (89.5, 170.0), (0.0, 180.0), (0.0, -179.9), (10.0, 359.0), (10.0, -1.0), (-89.0, -60.0), (-88.9, 120.0), (45.0, 45.0), (45.2, 45.2), (0.1, 179.8)]
+    rows = spark.createDataFrame([(i, la, lo) for i, (la, lo) in enumerate(places)] + [(99, None, 1.0), (98, 95.0, 1.0)], "id int, lat double, lon double")
+
+    def apart(a, b):
+        (la, lo), (lb, lp) = ([math.radians(x) for x in p] for p in (a, b))
+        h = math.sin((lb - la) / 2) ** 2 + math.cos(la) * math.cos(lb) * math.sin((lp - lo) / 2) ** 2
+        return 2 * 6371 * math.asin(min(1, math.sqrt(h)))
+
+    for km in (1, 50, 300, 2500, 25000):
+        out = [(r["centre_id"], r["id"]) for r in J.radius_join(rows, rows.withColumnRenamed("id", "centre_id"), km).collect()]
+        assert len(out) == len(set(out))
+        assert set(out) == {(i, j) for (i, a), (j, b) in itertools.product(enumerate(places), repeat=2) if apart(a, b) <= km}

@@ -76,11 +76,24 @@ def grouped(df: DataFrame, keys: list[str], **aggs: Column) -> DataFrame:
     return df.groupBy(*keys).agg(*[c.alias(n) for n, c in aggs.items()])
 
 
-def material_profile(df: DataFrame, least: int = 2, top: int = 2000) -> DataFrame:
-    """Materials with at least `least` rows: count, mean, sum, distinct companies, industries and treatments as sorted text, years; the `top` by sum."""
-    names = lambda c: F.array_join(F.array_sort(F.collect_set(c)), "|")
-    g = df.groupBy("material").agg(F.count("*").alias("n"), F.avg(F.col("quantity_tons").cast("double")).alias("avg_tons"), F.sum("quantity_tons").cast("double").alias("total_tons"), names("source_country").alias("countries"), names("treatment_method").alias("treatments"), F.min("year").alias("first_year"), F.max("year").alias("last_year"))
-    return g.where(F.col("n") >= least).orderBy(F.desc_nulls_last("total_tons"), "material").limit(top)
+def first_values(df: DataFrame, key: str, value: str, n: int) -> DataFrame:
+    """key, values: the first n distinct values of each key, by name, as sorted text. No key's values are gathered beyond n."""
+    d = df.where(F.col(value).isNotNull()).select(key, F.col(value).cast("string").alias("v")).distinct()
+    d = d.withColumn("r", F.row_number().over(Window.partitionBy(key).orderBy("v"))).where(F.col("r") <= n)
+    return d.groupBy(key).agg(F.array_join(F.array_sort(F.collect_list("v")), "|").alias("values"))
+
+
+def material_profile(df: DataFrame, least: int = 2, top: int = 2000, companies: int = 10, locations: int = 5, treatments: int = 100) -> DataFrame:
+    """The `top` materials by sum of those with at least `least` rows: count, mean, sum, years, and the first companies (50 characters of
+    each), locations and treatments by name as sorted text, empty if all are null. Rows without a material are left out."""
+    rows = df.where("material is not null and material <> ''")
+    g = rows.groupBy("material").agg(F.count("*").alias("n"), F.avg(F.col("quantity_tons").cast("double")).alias("avg_tons"), F.sum("quantity_tons").cast("double").alias("total_tons"), F.min("year").alias("first_year"), F.max("year").alias("last_year"))
+    out = g.where(F.col("n") >= least).orderBy(F.desc_nulls_last("total_tons"), "material").limit(top)
+    cut = rows.withColumn("wf_company", F.substring("source_company", 1, 50))
+    for name, column, n in (("companies", "wf_company", companies), ("locations", "source_location", locations), ("treatments", "treatment_method", treatments)):
+        found = first_values(cut, "material", column, n).select(F.col("material").alias("of"), F.col("values").alias(name))
+        out = out.join(found.hint("merge"), F.col("material") == F.col("of"), "left").drop("of").fillna("", [name])
+    return out
 
 
 def string_agg_profile(df: DataFrame, keys: list[str]) -> DataFrame:

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .. import material_tables as T
 from .. import rules as R
 from .classify import classify
 
@@ -43,20 +43,20 @@ def extract_quantities(text: Column) -> Column:
     return F.filter(F.zip_with(values, units, one), lambda q: q["value"].isNotNull())
 
 
-def rewrite_quantities(texts: pd.Series) -> pd.Series:
-    """Text with every quantity of a known unit as metric tons; for use in a pandas UDF (replacements depend on the match)."""
-    import re
+def rewrite_quantities(text: Column) -> Column:
+    """Text with every quantity of a known unit as metric tons, rounded to 4 places; other quantities stay as they are."""
 
-    pattern = re.compile(QUANTITY)
+    def one(whole: Column, number: Column, unit: Column) -> Column:
+        tons = F.bround(F.regexp_replace(number, ",", "").try_cast("double") * F.try_element_at(lookup(R.UNITS), unit_key(unit)), 4)
+        return F.coalesce(F.concat(F.regexp_replace(F.format_string("%.4f", tons), r"\.?0+$", ""), F.lit(" metric_ton")), whole)
 
-    def put(m):
-        try:
-            tons = float(m[1].replace(",", "")) * R.UNITS[re.sub(r"\s+", "_", m[2].lower())]
-        except (KeyError, ValueError):
-            return m[0]
-        return f"{round(tons, 4):g} metric_ton"
+    def rewritten(t: Column) -> Column:
+        found = [F.regexp_extract_all(t, F.lit(QUANTITY), i) for i in (0, 1, 2)]
+        put = F.transform(F.arrays_zip(*[f.alias(n) for f, n in zip(found, "wnu")]), lambda q: one(q["w"], q["n"], q["u"]))
+        pieces = F.split(t, QUANTITY, -1)
+        return F.concat(F.get(pieces, 0), F.array_join(F.zip_with(put, F.slice(pieces, 2, F.size(put)), lambda a, b: F.concat(a, b)), ""))
 
-    return texts.map(lambda t: pattern.sub(put, t), na_action="ignore")
+    return F.when(text.rlike(QUANTITY), rewritten(text)).otherwise(text)
 
 
 def parse_date(text: Column) -> Column:
@@ -90,27 +90,33 @@ def extract_country(location: Column) -> Column:
     return F.when(location.isNotNull() & (location != ""), classify(location, R.COUNTRIES, "EUR"))
 
 
-PROFILES = (
-    ("bolt", {"composition": "iron", "hazards": ["dust"], "uses": ["fastening"]}),
-    ("ring", {"composition": "polymer", "hazards": ["fire"], "uses": ["sealing"]}),
-    ("anvil", {"composition": "steel", "hazards": [], "uses": ["forging"]}),
-)
+def texts(values) -> Column:
+    return F.array(*[F.lit(v) for v in values]).cast("array<string>")
 
 
-def chemical_profile(material: Column, profiles=PROFILES) -> Column:
-    """Struct composition, hazards, uses of the first profile whose key the material holds."""
+def chemical_profile(material: Column, profiles=T.CHEMICAL_PROFILES) -> Column:
+    """Struct composition (component, percent_range), hazards, potential_uses of the first profile whose keyword the material holds."""
     lower = F.lower(material)
 
-    def one(p):
-        strings = lambda xs: F.array(*[F.lit(x) for x in xs]).cast("array<string>")
-        return F.struct(F.lit(p["composition"]).alias("composition"), strings(p["hazards"]).alias("hazards"), strings(p["uses"]).alias("uses"))
+    def one(components, hazards, uses):
+        parts = F.array(*[F.struct(F.lit(c).alias("component"), F.lit(p).alias("percent_range")) for c, p in components])
+        return F.struct(parts.alias("composition"), texts(hazards).alias("hazards"), texts(uses).alias("potential_uses"))
 
-    return F.coalesce(*[F.when(lower.contains(k), one(p)) for k, p in profiles])
+    return F.coalesce(*[F.when(lower.contains(keyword), one(*rest)) for keyword, *rest in profiles])
 
 
-RECEIVERS = (("metals", "smelter"), ("plastics", "pelletizer"), ("tools", "workshop"))
+def receiver_type(category: Column, material: Column, types=T.RECEIVER_TYPES, default: str = T.OTHER_RECEIVER) -> Column:
+    """Receiver of a listing: the first type whose word the category or the material holds. Nulls hold none."""
+    c, m = F.lower(F.coalesce(category, F.lit("Industrial Waste"))), F.lower(F.coalesce(material, F.lit("")))
+    return F.coalesce(*[F.when(c.contains(a) | m.contains(b), F.lit(name)) for name, a, b in types], F.lit(default))
 
 
-def receiver_lookup(category: Column, material: Column, table=RECEIVERS, default: str = "processor") -> Column:
-    """Receiver type: bolts go to a foundry, else by category, else the default."""
-    return F.when(F.lower(material).contains("bolt"), "foundry").otherwise(F.coalesce(F.try_element_at(lookup(dict(table)), category), F.lit(default)))
+def receiver_lookup(category: Column, table=T.RECEIVERS, default=T.OTHER_RECEIVERS) -> Column:
+    """Struct receivers, carbon_offset of a category."""
+    one = lambda names, offset: F.struct(texts(names).alias("receivers"), F.lit(offset).alias("carbon_offset"))
+    return F.coalesce(*[F.when(category == name, one(names, offset)) for name, names, offset in table], one(*default))
+
+
+def industry_categories(industry: Column, table=T.INDUSTRY_CATEGORIES, default=("mixed",)) -> Column:
+    """Waste categories of an industry."""
+    return F.coalesce(*[F.when(industry == name, texts(categories)) for name, categories in table], texts(default))

@@ -50,10 +50,14 @@ def _(t):
     return A.grouped(t.listings, ["treatment_method"], n=F.count("*"), tons=F.round(F.sum("quantity_tons"), 2).cast("double"))
 
 
-@query("g7_material_profile", """SELECT material, count(*) AS n, round(avg(quantity_tons::DOUBLE), 6) AS avg_tons, sum(quantity_tons)::DOUBLE AS total_tons, string_agg(DISTINCT source_country, '|' ORDER BY source_country) AS countries,
-    string_agg(DISTINCT treatment_method, '|' ORDER BY treatment_method) AS treatments, min(year) AS first_year, max(year) AS last_year FROM {listings} GROUP BY 1 HAVING count(*) >= 2 ORDER BY total_tons DESC NULLS LAST, material LIMIT 2000""")
+def firsts_sql(value: str, n: int) -> str:
+    return f"SELECT material, string_agg(v, '|' ORDER BY v) AS s FROM (SELECT *, row_number() OVER (PARTITION BY material ORDER BY v) AS r FROM (SELECT DISTINCT material, {value} AS v FROM f WHERE {value} IS NOT NULL)) WHERE r <= {n} GROUP BY 1"
+
+
+@query("g7_material_profile", f"""WITH f AS (SELECT * FROM {{faulty}} WHERE material <> ''), g AS (SELECT material, count(*) AS n, round(avg(quantity_tons::DOUBLE), 6) AS avg_tons, sum(quantity_tons)::DOUBLE AS total_tons, min(year) AS first_year, max(year) AS last_year FROM f GROUP BY 1 HAVING count(*) >= 2 ORDER BY total_tons DESC NULLS LAST, material LIMIT 2000)
+    SELECT g.*, coalesce(c.s, '') AS companies, coalesce(l.s, '') AS locations, coalesce(t.s, '') AS treatments FROM g LEFT JOIN ({firsts_sql('substr(source_company, 1, 50)', 10)}) c USING (material) LEFT JOIN ({firsts_sql('source_location', 5)}) l USING (material) LEFT JOIN ({firsts_sql('treatment_method', 100)}) t USING (material)""")
 def _(t):
-    return A.material_profile(t.listings).withColumn("avg_tons", F.round("avg_tons", 6))
+    return A.material_profile(t.faulty).withColumn("avg_tons", F.round("avg_tons", 6))
 
 
 @query("g8_string_agg_profile", "SELECT material, material_subcategory, sum(quantity_tons)::DOUBLE AS total_tons, round(avg(quantity_tons::DOUBLE), 6) AS avg_tons, string_agg(DISTINCT treatment_method, ', ' ORDER BY treatment_method) AS treatments FROM {faulty} JOIN (SELECT id, material_subcategory FROM {listings}) USING (id) WHERE material IS NOT NULL GROUP BY 1, 2 HAVING sum(quantity_tons) > 0")

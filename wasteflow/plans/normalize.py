@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from .. import material_tables as T
 from .. import rules as R
 from ..operators import names as names_of
 from ..operators import normalize as N
@@ -40,7 +41,7 @@ def _(t):
 
 @query("d4_rewrite_quantities", "SELECT id, regexp_replace(source_quote, '([0-9]+) tonnes', '\\1 metric_ton') AS text FROM {listings}")
 def _(t):
-    return t.listings.select("id", F.pandas_udf(N.rewrite_quantities, "string")("source_quote").alias("text"))
+    return t.listings.select("id", N.rewrite_quantities(F.col("source_quote")).alias("text"))
 
 
 @query("d5_classify", f"SELECT id, material, {sql_case('material', R.PART_RULES, 'other')} AS category FROM {{listings}}")
@@ -88,11 +89,22 @@ def _(t):
     return names_of.resolve_company(names, t.supplier.select(F.regexp_replace("s_name", "#0*", " ").alias("known")), "name", "known")
 
 
-@query("d12_chemical_profile", """SELECT id, CASE WHEN contains(material, 'bolt') THEN 'iron' WHEN contains(material, 'ring') THEN 'polymer' WHEN contains(material, 'anvil') THEN 'steel' END AS composition,
-    CASE WHEN contains(material, 'bolt') THEN 'dust' WHEN contains(material, 'ring') THEN 'fire' WHEN contains(material, 'anvil') THEN '' END AS hazards FROM {listings}""")
+def profile_sql(part: str) -> str:
+    value = {"hazards": lambda p: ", ".join(p[2]), "uses": lambda p: ", ".join(p[3]), "composition": lambda p: "; ".join(f"{c} {share}" for c, share in p[1])}[part]
+    return "CASE " + " ".join(f"WHEN contains(lower(m), '{p[0]}') THEN '{value(p)}'" for p in T.CHEMICAL_PROFILES) + " END"
+
+
+#: A material for each profile by the listing's id, and one without.
+KEYS = [p[0].title() for p in T.CHEMICAL_PROFILES] + ["Clean sand"]
+KEYED = f"material || ' ' || {KEYS}[CAST(id % {len(KEYS)} AS INT) + 1]"
+
+
+@query("d12_chemical_profile", f"SELECT id, {profile_sql('composition')} AS composition, {profile_sql('hazards')} AS hazards, {profile_sql('uses')} AS uses FROM (SELECT id, {KEYED} AS m FROM {{listings}})")
 def _(t):
-    p = N.chemical_profile(F.col("material"))
-    return t.listings.select("id", p["composition"].alias("composition"), F.array_join(p["hazards"], ", ").alias("hazards"))
+    key = F.element_at(N.texts(KEYS), (F.col("id") % len(KEYS) + 1).cast("int"))
+    p = N.chemical_profile(F.concat_ws(" ", "material", key))
+    parts = F.transform(p["composition"], lambda c: F.concat_ws(" ", c["component"], c["percent_range"]))
+    return t.listings.select("id", F.array_join(parts, "; ").alias("composition"), F.array_join(p["hazards"], ", ").alias("hazards"), F.array_join(p["potential_uses"], ", ").alias("uses"))
 
 
 @query("d13_industry_label", """WITH n AS (SELECT DISTINCT source_company AS name FROM {listings}), r AS (SELECT s_suppkey AS o, substr(s_name, 1, 17) AS k, concat('industry ', CAST(s_nationkey AS STRING)) AS v FROM {supplier})
@@ -108,7 +120,21 @@ def _(t):
     return t.listings.select("id", "source_country").join(regions, "source_country").drop("source_country")
 
 
-@query("d15_receiver_lookup", f"""SELECT id, CASE WHEN contains(material, 'bolt') THEN 'foundry' WHEN c = 'metals' THEN 'smelter' WHEN c = 'plastics' THEN 'pelletizer' WHEN c = 'tools' THEN 'workshop' ELSE 'processor' END AS receiver
-    FROM (SELECT id, material, {sql_case('material', R.PART_RULES, 'other')} AS c FROM {{listings}})""")
+CATEGORIES = [r[0] for r in T.RECEIVERS] + ["other"]
+INDUSTRIES = [i[0] for i in T.INDUSTRY_CATEGORIES] + ["fishing"]
+MATERIALS = ["food", "zinc", "polymer", "toxic", "sand"]
+
+
+def pick(values: list[str], by: str) -> str:
+    return f"{values}[CAST({by} % {len(values)} AS INT) + 1]"
+
+
+@query("d15_receiver_lookup", f"""WITH r AS (SELECT id, {pick(CATEGORIES, 'id')} AS category, {pick(INDUSTRIES, 'id')} AS industry, {pick(MATERIALS, 'id // 7')} || ' ' || material AS m FROM {{listings}})
+    SELECT id, CASE {' '.join(f"WHEN contains(category, '{a}') OR contains(m, '{b}') THEN '{name}'" for name, a, b in T.RECEIVER_TYPES)} ELSE '{T.OTHER_RECEIVER}' END AS receiver,
+    CASE category {' '.join(f"WHEN '{c}' THEN '{'|'.join(names)}'" for c, names, _ in T.RECEIVERS)} ELSE 'general recycling' END AS receivers, CASE category {' '.join(f"WHEN '{c}' THEN '{o}'" for c, _, o in T.RECEIVERS)} ELSE '1.0 tons CO2/ton' END AS carbon_offset,
+    CASE industry {' '.join(f"WHEN '{i}' THEN '{'|'.join(c)}'" for i, c in T.INDUSTRY_CATEGORIES)} ELSE 'mixed' END AS categories FROM r""")
 def _(t):
-    return t.listings.select("id", N.receiver_lookup(classify(F.col("material"), R.PART_RULES, "other"), F.col("material")).alias("receiver"))
+    of = lambda values, by: F.element_at(N.texts(values), (by % len(values) + 1).cast("int"))
+    category, industry, material = of(CATEGORIES, F.col("id")), of(INDUSTRIES, F.col("id")), F.concat_ws(" ", of(MATERIALS, F.floor(F.col("id") / 7)), "material")
+    found = N.receiver_lookup(category)
+    return t.listings.select("id", N.receiver_type(category, material).alias("receiver"), F.array_join(found["receivers"], "|").alias("receivers"), found["carbon_offset"].alias("carbon_offset"), F.array_join(N.industry_categories(industry), "|").alias("categories"))

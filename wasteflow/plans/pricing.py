@@ -4,15 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from .. import material_tables as T
 from .. import rules as R
 from ..operators import pricing as P
 from ..operators.classify import classify, sql_case
 from .catalog import query
 
 PER_TON = "price_value / CASE price_unit WHEN 'lb' THEN CAST(0.000453592 AS DOUBLE) WHEN 'kg' THEN CAST(0.001 AS DOUBLE) WHEN 'ton' THEN CAST(0.907185 AS DOUBLE) ELSE CAST(1.0 AS DOUBLE) END"
-BEST = (("bolt", "BOLT", 0.9), ("red", "RED", 0.95), ("ring", "RING", 0.9), ("hot", "HOT", 0.9))
-TIERED = (([("BOLT", ["bolt"]), ("RING", ["ring"])], 0.8), ([("WARM", ["red", "hot"])], 0.6), ("GENERAL", 0.4))
-BEST_SQL = "CASE WHEN contains(m, 'red') THEN 'RED' WHEN contains(m, 'bolt') THEN 'BOLT' WHEN contains(m, 'ring') THEN 'RING' WHEN contains(m, 'hot') THEN 'HOT' END"
 PROFILE_SQL = "SELECT p_brand AS industry, p_name AS material, CAST(sum(p_size) AS DOUBLE) AS percent FROM {part} GROUP BY 1, 2"
 PRICE_SQL = "SELECT p_name AS material, CAST(min(p_retailprice) AS DOUBLE) AS price_low, CAST(max(p_retailprice) AS DOUBLE) AS price_high, CAST(avg(p_size) AS DOUBLE) AS co2_factor FROM {part} GROUP BY 1"
 TIER_SQL = "SELECT DISTINCT CASE WHEN p_size % 2 = 0 THEN 'small' ELSE 'medium' END AS tier, CAST(CASE WHEN p_size % 2 = 0 THEN 500 ELSE 5000 END AS DOUBLE) AS tons FROM {part}"
@@ -58,20 +56,43 @@ def _(t):
     return P.map_materials(t.listings, "material", "first", R.PART_RULES)
 
 
-@query("k6_map_materials_best", f"SELECT m AS material, {BEST_SQL} AS material_type_id, CAST(CASE WHEN contains(m, 'red') THEN 0.95 ELSE 0.9 END AS DOUBLE) AS match_confidence FROM (SELECT DISTINCT material AS m FROM {{listings}}) WHERE {BEST_SQL} IS NOT NULL")
+def worded(rules: list[str]) -> tuple[str, list[str]]:
+    """Materials with each keyword of the rules, and some without: DuckDB text, and the words by part key."""
+    words = [*rules, "plain", "hot sand"]
+    return f"SELECT DISTINCT p_name || ' ' || {words}[CAST(p_partkey % {len(words)} AS INT) + 1] || ' x' AS m FROM {{part}}", words
+
+
+def materials(t, words: list[str]):
+    word = F.element_at(F.array(*[F.lit(w) for w in words]), (F.col("p_partkey") % len(words) + 1).cast("int"))
+    return t.part.select(F.concat_ws(" ", "p_name", word, F.lit("x")).alias("material"))
+
+
+def ordered_sql(rules: list[tuple]) -> str:
+    return ", ".join(f"({i}, '{k}', '{label}', {c})" for i, (k, label, c) in enumerate(rules))
+
+
+BEST_SQL, BEST_WORDS = worded([k for k, _, _ in T.BEST_RULES])
+TIERS = [(k, label, c) for rules, c in T.TIERED_RULES[:2] for label, keys in rules for k in keys]
+TIER_WORDS_SQL, TIER_WORDS = worded([*[k for k, _, _ in TIERS], "non-hazardous waste"])
+SMART = [(k, label, 0.9) for label, keys in T.SMART_RULES for k in keys]
+SMART_SQL, SMART_WORDS = worded([k for k, _, _ in SMART])
+
+
+@query("k6_map_materials_best", f"WITH r(i, k, label, c) AS (VALUES {ordered_sql(T.BEST_RULES)}), n AS ({BEST_SQL}) SELECT m AS material, arg_min(label, (-c, i)) AS material_type_id, max(c)::DOUBLE AS match_confidence FROM n JOIN r ON contains(lower(m), k) GROUP BY m")
 def _(t):
-    return P.map_materials(t.listings, "material", "best", BEST)
+    return P.map_materials(materials(t, BEST_WORDS), "material", "best", T.BEST_RULES)
 
 
-@query("k7_map_materials_tiered", """SELECT m AS material, CASE WHEN contains(m, 'bolt') THEN 'BOLT' WHEN contains(m, 'ring') THEN 'RING' WHEN contains(m, 'red') OR contains(m, 'hot') THEN 'WARM' ELSE 'GENERAL' END AS material_type_id,
-    CAST(CASE WHEN contains(m, 'bolt') OR contains(m, 'ring') THEN 0.8 WHEN contains(m, 'red') OR contains(m, 'hot') THEN 0.6 ELSE 0.4 END AS DOUBLE) AS match_confidence FROM (SELECT DISTINCT material AS m FROM {listings})""")
+@query("k7_map_materials_tiered", f"WITH r(i, k, label, c) AS (VALUES {ordered_sql(TIERS)}), n AS ({TIER_WORDS_SQL}) SELECT m AS material, coalesce(arg_min(label, i), 'CHEM-NONHAZ') AS material_type_id, coalesce(arg_min(c, i), 0.4)::DOUBLE AS match_confidence FROM n LEFT JOIN r ON contains(lower(m), k) GROUP BY m")
 def _(t):
-    return P.map_materials(t.listings, "material", "tiered", TIERED)
+    return P.map_materials(materials(t, TIER_WORDS), "material", "tiered", T.TIERED_RULES)
 
 
-@query("k8_map_materials_smart", f"SELECT m AS material, coalesce({sql_case('m', R.PART_RULES)}, 'UNCLASSIFIED') AS material_type_id, CAST(CASE WHEN {sql_case('m', R.PART_RULES)} IS NULL THEN 0.4 ELSE 0.9 END AS DOUBLE) AS match_confidence FROM (SELECT DISTINCT material AS m FROM {{listings}})")
+@query("k8_map_materials_smart", f"""WITH r(i, k, label, c) AS (VALUES {ordered_sql(SMART)}), p(label, price) AS (VALUES {', '.join(f"('{a}', {b})" for a, b in T.CATEGORY_PRICES)}), n AS ({SMART_SQL}),
+    f AS (SELECT m AS material, coalesce(arg_min(label, i), 'UNCLASSIFIED') AS material_type_id, (CASE WHEN min(i) IS NULL THEN 0.4 ELSE 0.9 END)::DOUBLE AS match_confidence FROM n LEFT JOIN r ON contains(lower(m), k) GROUP BY m) SELECT f.*, price::DOUBLE AS price_per_ton_usd FROM f JOIN p ON material_type_id = p.label""")
 def _(t):
-    return P.map_materials(t.listings, "material", "smart", R.PART_RULES)
+    price = F.coalesce(*[F.when(F.col("material_type_id") == label, float(usd)) for label, usd in T.CATEGORY_PRICES])
+    return P.map_materials(materials(t, SMART_WORDS), "material", "smart", T.SMART_RULES).withColumn("price_per_ton_usd", price)
 
 
 @query("k9_industry_calculator", CALC_SQL + " SELECT * FROM e")
