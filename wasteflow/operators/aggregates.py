@@ -84,13 +84,17 @@ def first_values(df: DataFrame, key: str, value: str, n: int) -> DataFrame:
 
 
 def material_profile(df: DataFrame, least: int = 2, top: int = 2000, companies: int = 10, locations: int = 5, treatments: int = 100) -> DataFrame:
-    """The `top` materials by sum of those with at least `least` rows: count, mean, sum, years, and the first companies (50 characters of
-    each), locations and treatments by name as sorted text, empty if all are null. Rows without a material are left out."""
+    """The `top` materials by sum of those with at least `least` rows.
+
+    Count, mean, sum, years, and the first companies (50 characters of each), locations (countries where df has no locations)
+    and treatments by name as sorted text, empty if all are null. Rows without a material are left out.
+    """
+    place = "source_location" if "source_location" in df.columns else "source_country"
     rows = df.where("material is not null and material <> ''")
     g = rows.groupBy("material").agg(F.count("*").alias("n"), F.avg(F.col("quantity_tons").cast("double")).alias("avg_tons"), F.sum("quantity_tons").cast("double").alias("total_tons"), F.min("year").alias("first_year"), F.max("year").alias("last_year"))
     out = g.where(F.col("n") >= least).orderBy(F.desc_nulls_last("total_tons"), "material").limit(top)
     cut = rows.withColumn("wf_company", F.substring("source_company", 1, 50))
-    for name, column, n in (("companies", "wf_company", companies), ("locations", "source_location", locations), ("treatments", "treatment_method", treatments)):
+    for name, column, n in (("companies", "wf_company", companies), ("locations", place, locations), ("treatments", "treatment_method", treatments)):
         found = first_values(cut, "material", column, n).select(F.col("material").alias("of"), F.col("values").alias(name))
         out = out.join(found.hint("merge"), F.col("material") == F.col("of"), "left").drop("of").fillna("", [name])
     return out
@@ -213,8 +217,8 @@ def neighbour_rank(df: DataFrame, order: list, n: int) -> DataFrame:
 
 
 def sample_rows(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
-    """n rows that are the same in each run: the smallest by a hash of key and seed."""
-    return df.orderBy(F.xxhash64(key, F.lit(seed)), key).limit(n)
+    """n rows that are the same in each run: the smallest by a digest of key and seed."""
+    return df.orderBy(F.md5(F.concat_ws(":", key, F.lit(seed))), key).limit(n)
 
 
 def top_contributor(df: DataFrame, key: str) -> DataFrame:

@@ -192,7 +192,7 @@ def _(t):
     return A.top_n_per_group(t.listings, "source_country", [F.desc("quantity_tons"), "id"], 3).select("id", "source_country", "rn")
 
 
-@query("h6_sample_rows")
+@query("h6_sample_rows", "SELECT id, material FROM {listings} ORDER BY md5(id::VARCHAR || ':42'), id LIMIT 100")
 def _(t):
     return A.sample_rows(t.listings, "id", 100).select("id", "material")
 

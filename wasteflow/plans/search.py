@@ -160,6 +160,17 @@ def _(t):
     return t.documents.select("doc_id", S.year_from_name(F.expr("CASE WHEN doc_id % 2 = 0 THEN 'report_2019.pdf' ELSE 'report.pdf' END"), F.concat(F.lit("in 2004 and 2011: "), F.regexp_replace("text", r"\d", ""))).alias("year"))
 
 
+@query("a17_year_from_url", "SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 2012 END::INT AS last_year, CASE doc_id % 3 WHEN 0 THEN 2012 WHEN 1 THEN 1987 END::INT AS last_of_all FROM {documents}")
+def _(t):
+    url = F.expr("CASE doc_id % 3 WHEN 0 THEN 'https://a.org/2019/r-1991-2012.pdf' WHEN 1 THEN 'https://a.org/1987/x.pdf' ELSE concat('https://a.org/', source) END")
+    return t.documents.select("doc_id", S.year_from_url(url).alias("last_year"), S.year_from_url(url, 1980).alias("last_of_all"))
+
+
+@query("a18_source_type", "SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN 'epa_tri' WHEN 1 THEN 'eprtr' WHEN 2 THEN 'generic' ELSE 'epa_tri' END AS kind FROM {documents}")
+def _(t):
+    return t.documents.select("doc_id", S.source_type(F.expr("CASE doc_id % 4 WHEN 0 THEN 'gov' WHEN 1 THEN 'eprtr' WHEN 2 THEN 'saudi' ELSE source END")).alias("kind"))
+
+
 @query("a18_route_documents", "SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN 'csv' WHEN 1 THEN 'pdf' WHEN 2 THEN 'html' ELSE 'text' END AS route FROM {documents}")
 def _(t):
     return t.documents.select("doc_id", S.route_documents(F.expr("CASE WHEN doc_id % 4 = 0 THEN 'csv' ELSE 'other' END"), F.expr("CASE doc_id % 4 WHEN 1 THEN 'a/b.PDF' WHEN 2 THEN 'x.htm' END")).alias("route"))

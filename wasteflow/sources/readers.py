@@ -123,6 +123,20 @@ def year_from_name(name: Column, text: Column) -> Column:
     return F.coalesce(F.regexp_extract(name, r"(20[0-2]\d)", 1).try_cast("int"), F.try_element_at(inside, F.lit(-1)).try_cast("int"))
 
 
+def year_from_url(url: Column, since: int = 2000) -> Column:
+    """The last year in a URL: of 2000 to 2029, or with since=1980 of 1980 to 2029."""
+    pattern = r"(20[0-2]\d)" if since >= 2000 else r"(19[89]\d|20[0-2]\d)"
+    return F.try_element_at(F.regexp_extract_all(url, F.lit(pattern), 1), F.lit(-1)).try_cast("int")
+
+
+# The kind of register that a source's files are read as; others are release registers.
+SOURCE_TYPES = (("government", "epa_tri"), ("gov", "epa_tri"), ("eprtr", "eprtr"), ("mena", "generic"), ("bayanat", "generic"), ("saudi", "generic"))
+
+
+def source_type(source: Column) -> Column:
+    return F.coalesce(*[F.when(source == name, kind) for name, kind in SOURCE_TYPES], F.lit("epa_tri"))
+
+
 def route_documents(kind: Column, path: Column) -> Column:
     """csv, pdf, html or text."""
     p = F.lower(F.coalesce(path, F.lit("")))
