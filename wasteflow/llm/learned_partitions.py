@@ -15,7 +15,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import map_rows, materialize
+from .common import discard, map_rows, materialize
 from .vector_rows import finite, stacked
 
 SAMPLE, SAMPLE_BYTES = 6000, 64 << 20  # rows that the index is fitted on at most, and their size
@@ -270,6 +270,7 @@ def approximate_neighbours(df: DataFrame, k: int = 5, every: int = 50, target: f
     packs = routes.join(sizes, ["dim", "part"]).select("dim", "part", pack, lot, F.struct("row", "vec_id", "x").alias("q"))
     packs = packs.groupBy("lot", "dim", "part", "pack").agg(F.collect_list("q").alias("q"))
     packs = materialize(packs.select("lot", "dim", "part", "pack", F.col("q.row").alias("own"), F.col("q.vec_id").alias("query_ids"), F.col("q.x").alias("qs")), "neighbours-queries")
+    discard(placed)
 
     def meet(batches):
         """A task's best so far of every query that it has met."""

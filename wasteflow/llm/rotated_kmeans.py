@@ -14,8 +14,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_rows, materialize
-from .vector_rows import finite, stacked, totals, whole, widened
+from .common import discard, map_rows, materialize
+from .vector_rows import add_rows, finite, stacked, totals, whole, widened
 
 LEADING = 24
 SLACK = 1e-9  # share of the squared lengths by which a bound may err from rounding
@@ -108,7 +108,7 @@ def rotated_clusters(df: DataFrame, k: int = 40, rounds: int = 5, dim: int = 64,
             for b in batches:
                 x, at, _, _ = assigned(centroids, b)
                 np.add.at(n, at, 1)
-                np.add.at(sums, at, x)
+                sums = add_rows(sums, at, x)
             held = np.flatnonzero(n)
             yield {"key": held, "n": n[held], "sums": sums[held].tolist()}
 
@@ -125,6 +125,7 @@ def rotated_clusters(df: DataFrame, k: int = 40, rounds: int = 5, dim: int = 64,
             yield {"vec_id": b["vec_id"], "cluster": at, "distance": apart.tolist(), "n_verified": met}
 
     out = materialize(map_rows(vectors, label, "vec_id long, cluster int, distance long, n_verified int"), "clusters-assigned")
+    discard(vectors)
     sums = {r["cluster"]: int(r["inertia"]) for r in out.groupBy("cluster").agg(F.sum(F.col("distance").cast("decimal(38,0)")).alias("inertia")).collect()}
     digests = [hashlib.sha256(",".join(map(str, c)).encode()).hexdigest() for c in centroids.tolist()]
     # One row a cluster, at most k.

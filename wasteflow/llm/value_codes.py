@@ -16,8 +16,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_BYTES, map_rows, materialize
-from .vector_rows import NARROW, finite, totals, whole, widened
+from .common import BROADCAST_BYTES, discard, map_rows, materialize
+from .vector_rows import NARROW, add_rows, finite, totals, whole, widened
 
 TABLE_BYTES = 96 << 20  # squared differences that a task keeps at most
 FLUSH = 1 << 20  # distinct values that a task gathers before it sends them on
@@ -142,15 +142,15 @@ def vector_codes(df: DataFrame, parts: int = 8, entries: int = 16, rounds: int =
         def run(batches):
             """Count and sum of a task's parts by part and entry."""
             tables = Tables(codebooks, shared.value, rest)
-            n, sums = np.zeros(codebooks.shape[:2], np.int64), np.zeros(codebooks.shape, np.int64)
+            n, sums = np.zeros(codebooks.shape[:2], np.int64), list(np.zeros(codebooks.shape, np.int64))
             for b in batches:
                 codes, raw = unpacked(b)
                 at, x = tables.distances(codes, raw).argmin(2), tables.components(codes, raw)
                 for p in range(parts):
                     np.add.at(n[p], at[p], 1)
-                    np.add.at(sums[p], at[p], x[:, p * width : (p + 1) * width])
+                    sums[p] = add_rows(sums[p], at[p], x[:, p * width : (p + 1) * width])
             held = np.flatnonzero(n.ravel())
-            yield {"key": held, "n": n.ravel()[held], "sums": sums.reshape(-1, width)[held].tolist()}
+            yield {"key": held, "n": n.ravel()[held], "sums": np.concatenate(sums)[held].tolist()}
 
         return run
 
@@ -169,6 +169,7 @@ def vector_codes(df: DataFrame, parts: int = 8, entries: int = 16, rounds: int =
 
     out = materialize(map_rows(vectors, coded, f"vec_id long, label {label_type}, code string, error long"), "codes-coded")
     by_label = materialize(out.groupBy("label").agg(F.sum("error").alias("label_error")), "codes-labels")
+    discard(values, vectors)
     digest = hashlib.sha256(",".join(map(str, codebooks.ravel().tolist())).encode()).hexdigest()
     return with_label_error(out, by_label).select("vec_id", "code", "error", "label_error", F.lit(digest).alias("codebooks_sha256"))
 

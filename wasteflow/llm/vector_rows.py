@@ -34,6 +34,14 @@ def widened(x: np.ndarray, *others: np.ndarray) -> tuple[np.ndarray, ...]:
     return tuple(v.astype(object) if large else v for v in (x, *others))
 
 
+def add_rows(sums: np.ndarray, at: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """sums with each row of x added at its place; of Python's whole numbers from components of 2^31 on, so that nothing wraps."""
+    if sums.dtype == object or (x.size and max(int(x.max()), -int(x.min())) >= 1 << 31):
+        sums, x = sums.astype(object), x.astype(object)
+    np.add.at(sums, at, x)
+    return sums
+
+
 def totals(parts: DataFrame, key: str, width: int, kind: str = "decimal(38,0)") -> list[dict]:
     """key, n and sums added up over the rows that tasks made; collects one row for each key, of which there are few by design."""
     added = [F.sum(F.col("sums")[i].cast(kind)).alias(f"s{i}") for i in range(width)]
