@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from .. import material_tables as T
 from .. import rules as R
+from ..sources.markup import once
 from .classify import classify
 
+MANY = 1 << 30
 QUANTITY = r"(?i)([\d,]+(?:\.\d+)?)\s*(metric[ _]tons?|tonnes?|tons?|mt|kilograms?|kg|pounds?|lbs?)\b"
 
 
@@ -54,9 +56,9 @@ def rewrite_quantities(text: Column) -> Column:
         found = [F.regexp_extract_all(t, F.lit(QUANTITY), i) for i in (0, 1, 2)]
         put = F.transform(F.arrays_zip(*[f.alias(n) for f, n in zip(found, "wnu")]), lambda q: one(q["w"], q["n"], q["u"]))
         pieces = F.split(t, QUANTITY, -1)
-        return F.concat(F.get(pieces, 0), F.array_join(F.zip_with(put, F.slice(pieces, 2, F.size(put)), lambda a, b: F.concat(a, b)), ""))
+        return F.concat(F.get(pieces, 0), F.array_join(F.zip_with(put, F.slice(pieces, 2, MANY), lambda a, b: F.concat(a, b)), ""))
 
-    return F.when(text.rlike(QUANTITY), rewritten(text)).otherwise(text)
+    return F.when(text.rlike(QUANTITY), once(text, rewritten)).otherwise(text)
 
 
 def parse_date(text: Column) -> Column:
