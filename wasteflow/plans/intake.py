@@ -78,11 +78,13 @@ def _(t):
     return N.collect_by_source(t.queue, "ingested_at").withColumn("per_hour", F.round("per_hour", 6))
 
 
-@query("n1_stream_documents", "SELECT source, count(*) AS n, sum(length(text))::BIGINT AS chars FROM {documents} GROUP BY 1")
+@query("n1_stream_documents", "SELECT doc_id, source, length(text) AS chars, sha256(text) AS content_hash FROM {documents}")
 def _(t):
+    """Every document once, with its digest, through a stream into a versioned table."""
     table = VersionedTable(t.spark, new_folder(t.spark, "intake"))
-    finish(t, streamed(t, "documents").select("source", F.length("text").alias("chars")), into_table(table, "intake"))
-    return table.read().groupBy("source").agg(F.count("*").alias("n"), F.sum("chars").alias("chars"))
+    taken = streamed(t, "documents").select("doc_id", "source", F.length("text").alias("chars"), F.sha2("text", 256).alias("content_hash"))
+    finish(t, taken, into_table(table, "intake"))
+    return table.read()
 
 
 HOURS = "SELECT event_type AS series, date_trunc('hour', ts) AS hour, CAST(floor(count(*) / {per}) AS BIGINT) AS n FROM {events} GROUP BY 1, 2"
