@@ -26,12 +26,29 @@ def strip_html_basic(html: Column) -> Column:
     return decode_references(F.regexp_replace(html, "<[^>]+>", " "))
 
 
+# For each pattern of NOISE_TEXT, in order: the words of which every match holds one. Texts without them are not searched.
+NOISE_WORDS = (("cookie",), ("skip to", "jump to navigation", "back to top"), ("follow us on", "share this", "share on", "like us on facebook"), ("all rights reserved", "©", "privacy policy"))
+
+
 def remove_text_noise(text: Column) -> Column:
-    for p in R.NOISE_TEXT:
-        text = F.regexp_replace(text, "(?i)" + p, "")
+    for pattern, words in zip(R.NOISE_TEXT, NOISE_WORDS, strict=True):
+        text = once(text, without(pattern, words))
     return text
 
 
+def without(pattern: str, words: tuple[str, ...]):
+    """Removes the matches of a pattern, of which every one holds one of the words."""
+
+    def removed(t: Column) -> Column:
+        low = F.lower(t)
+        some = low.contains(words[0])
+        for w in words[1:]:
+            some = some | low.contains(w)
+        return F.when(some, F.regexp_replace(t, "(?i)" + pattern, "")).otherwise(t)
+
+    return removed
+
+
 def plain_chars(text: Column) -> Column:
     for a, b in R.PLAIN_CHARS:
         text = F.replace(text, F.lit(a), F.lit(b))
