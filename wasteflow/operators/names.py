@@ -109,7 +109,7 @@ def alike(left: DataFrame, right: DataFrame, bounds: Bounds) -> DataFrame:
     """name, x, match, y: all pairs of left (name, x, a) and right (match, y, b) that can reach the threshold, each once.
 
     Left goes with each length b of a partner and the prefix for just that length; a pair meets on a piece that stands in
-    both prefixes, at places after which enough pieces are left, and must share enough single characters.
+    both prefixes, at places after which enough pieces are left.
     """
     l, r = pieces_of(left, "name", "x", "a", bounds), pieces_of(right, "match", "y", "b", bounds)
 
@@ -117,19 +117,18 @@ def alike(left: DataFrame, right: DataFrame, bounds: Bounds) -> DataFrame:
         order = F.sort_array(F.collect_list(F.struct("often", "piece")))
         return rare_first(pieces, [l, r]).groupBy(*keys).agg(order.alias("order"))
 
-    first = with_pieces(ordered(l, ["name", "x", "a"]), F.col("x"), 1, "xs").withColumn("b", F.explode(F.expr(bounds.partners("a"))))
-    first = first.select("name", "x", "xs", "a", "b", F.posexplode(F.expr(f"slice(order, 1, greatest(0, {bounds.prefix('a', 'b')}))")).alias("i", "p"))
+    first = ordered(l, ["name", "x", "a"]).withColumn("b", F.explode(F.expr(bounds.partners("a"))))
+    first = first.select("name", "x", "a", "b", F.posexplode(F.expr(f"slice(order, 1, greatest(0, {bounds.prefix('a', 'b')}))")).alias("i", "p"))
     longest = f"array_max(transform({bounds.partners('b')}, a -> {bounds.prefix('b', 'a')}))"
-    second = with_pieces(ordered(r, ["match", "y", "b"]), F.col("y"), 1, "ys").select("match", "y", "ys", "b", F.posexplode(F.expr(f"slice(order, 1, greatest(0, {longest}))")).alias("j", "p"))
+    second = ordered(r, ["match", "y", "b"]).select("match", "y", "b", F.posexplode(F.expr(f"slice(order, 1, greatest(0, {longest}))")).alias("j", "p"))
     shares = F.expr(f"1 + cast(floor(sqrt(p.often) / {DEALT}) as int)")
     # A frequent piece is dealt over several tasks: left by name, with the right rows in each.
-    first = first.select("name", "x", "xs", "a", "b", "i", F.col("p.piece").alias("piece"), F.pmod(F.xxhash64("name"), shares).alias("share"))
-    second = second.select("match", "y", "ys", "b", "j", F.col("p.piece").alias("piece"), F.explode(F.sequence(F.lit(0), shares - 1)).alias("share"))
+    first = first.select("name", "x", "a", "b", "i", F.col("p.piece").alias("piece"), F.pmod(F.xxhash64("name"), shares).alias("share"))
+    second = second.select("match", "y", "b", "j", F.col("p.piece").alias("piece"), F.explode(F.sequence(F.lit(0), shares - 1)).alias("share"))
     n = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     first, second = (d.repartition(n, "piece", "b", "share") for d in (first, second))
     left_over = F.expr(f"j < {bounds.prefix('b', 'a')} AND least({bounds.size('a')} - i, {bounds.size('b')} - j) >= {bounds.shared('a', 'b')}")
-    letters = F.expr(f"size(array_intersect(xs, ys)) >= {bounds.letters('a', 'b')}")
-    return first.join(second.hint("merge"), ["piece", "b", "share"]).where(left_over).where(letters).select("name", "x", "match", "y").distinct()
+    return first.join(second.hint("merge"), ["piece", "b", "share"]).where(left_over).select("name", "x", "match", "y").distinct()
 
 
 def fuzzy_join(left: DataFrame, right: DataFrame, name: str, ref: str, threshold: float = 85, inclusive: bool = False) -> DataFrame:
