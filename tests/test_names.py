@@ -55,3 +55,28 @@ def test_long_names(spark, threshold):
     out = names_of.fuzzy_join(column(spark, names, "n"), column(spark, base, "r"), "n", "r", threshold).collect()
     best = {n: max((names_of.token_sort_ratio(n, r), r) for r in base) for n in names}
     assert {r["name"]: r["match"] for r in out} == {n: r for n, (s, r) in best.items() if s > threshold}
+
+
+def test_numbered_names_need_no_piece_join(spark):
+    """Names with a near partner are settled by forms without a character or two; before, each met all with alike numbers."""
+    l = spark.createDataFrame([(f"Supplier {n}", f"{n} Supplier", len(f"{n} Supplier")) for n in range(1000, 6000, 3)], "name string, x string, a int")
+    r = spark.createDataFrame([(f"Supplier {n}", f"{n} Supplier", len(f"{n} Supplier")) for n in range(100, 600)], "match string, y string, b int")
+    _, rest = names_of.nearest(l, r, 85)
+    assert rest.count() == 0
+
+
+@pytest.mark.parametrize("threshold, inclusive", [(85, True), (60, False)])
+def test_near_names_equal_brute_force(spark, threshold, inclusive):
+    rng = random.Random(9)
+    text = lambda: "".join(rng.choice("aab é") for _ in range(rng.randint(0, 9)))
+    refs = {text() for _ in range(60)} | {"zinc works b", "works zinc", "x" * 41, "x" * 40, "x" * 43}
+    names = {text() for _ in range(150)} | {"works b zinc", "b zinc works", "zinc work", "x" * 39, "x" * 42, "q"}
+    out = names_of.fuzzy_join(column(spark, names, "n"), column(spark, refs, "r"), "n", "r", threshold, inclusive).collect()
+    want = {}
+    for n in names:
+        score, match = min((-names_of.token_sort_ratio(n, m), m) for m in refs)
+        if n in refs:
+            want[n] = (n, 100.0)
+        elif -score > threshold or inclusive and -score == threshold:
+            want[n] = (match, -score)
+    assert len(out) == len(want) and {r["name"]: (r["match"], r["score"]) for r in out} == want

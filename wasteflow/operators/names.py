@@ -15,6 +15,7 @@ from ..sources.shared import written
 BUCKETS = 1 << 16
 DEALT = 50  # a piece of n names is dealt over sqrt(n) / DEALT tasks more
 PIECE = 3  # characters of a piece that stands for a contained name
+SHORT = 40  # characters of the longest text whose forms without one or two of them are made
 
 
 def indel_ratio(a: str, b: str) -> float:
@@ -131,6 +132,51 @@ def alike(left: DataFrame, right: DataFrame, bounds: Bounds) -> DataFrame:
     return first.join(second.hint("merge"), ["piece", "b", "share"]).where(left_over).select("name", "x", "match", "y").distinct()
 
 
+def shorter(text: str, n: int) -> Column:
+    """The distinct forms of a text of more than n characters without n of them."""
+    forms = F.array(F.col(text))
+    for _ in range(n):
+        less = lambda t: F.transform(F.sequence(F.lit(1), F.length(t)), lambda i: F.concat(F.substr(t, F.lit(1), i - 1), F.substr(t, i + 1)))
+        forms = F.array_distinct(F.flatten(F.transform(forms, less)))
+    return forms
+
+
+def near(left: DataFrame, right: DataFrame, edits: int, threshold: float) -> DataFrame:
+    """name, a, match, score: the pairs of texts of up to SHORT characters (left) that are this many edits apart, or fewer.
+
+    i characters go from x and the others from y, and what is left is the same text. The score is that of so many edits,
+    so a pair of fewer has a higher one from there. A text has forms only if there are partners of the length they ask for.
+    """
+    left, right = left.where(f"a > 0 and a <= {SHORT}"), right.where(f"b > 0 and b <= {SHORT + edits}")
+    # At most SHORT + edits rows each.
+    of_left, of_right = left.select("a").distinct(), right.select("b").distinct()
+    out = None
+    for i in range(edits + 1):
+        j = edits - i
+        score = F.expr(f"200D * (a - {i}) / (2 * a - {i} + {j})")
+        one = left.where((F.col("a") > i) & (score >= threshold)).join(F.broadcast(of_right), F.expr(f"b = a - {i} + {j}"), "left_semi")
+        two = right.where(F.col("b") > j).join(F.broadcast(of_left), F.expr(f"a = b - {j} + {i}"), "left_semi")
+        met = one.select("name", "a", F.explode(shorter("x", i)).alias("form")).join(two.select("match", F.explode(shorter("y", j)).alias("form")).hint("merge"), "form")
+        met = met.select("name", "a", "match", score.alias("score"))
+        out = met if out is None else out.unionByName(met)
+    return out
+
+
+def nearest(left: DataFrame, right: DataFrame, threshold: float) -> tuple[list[DataFrame], DataFrame]:
+    """Best pairs (name, match, score) of no, one and two edits, and the left names for which others may be better or as good.
+
+    A name is settled once its best score is over all that one edit more could give it: the partner that holds all of it.
+    """
+    found: list[DataFrame] = []
+    for edits in (0, 1, 2):
+        hits = near(left, right, edits, threshold).groupBy("name", "a").agg(F.min(F.struct((-F.col("score")).alias("less"), "match")).alias("best"))
+        found.append(written(hits, "names-near"))
+        most = F.expr(f"200D * a / (2 * a + {edits + 1})")
+        done = found[-1].where(-F.col("best.less") > most).select("name")
+        left = written(left.where(most >= threshold).join(done.hint("merge"), "name", "left_anti"), "names-open")
+    return [f.select("name", F.col("best.match").alias("match"), (-F.col("best.less")).alias("score")) for f in found], left
+
+
 def fuzzy_join(left: DataFrame, right: DataFrame, name: str, ref: str, threshold: float = 85, inclusive: bool = False) -> DataFrame:
     """Best token-sort match of each distinct name of left among right's: exact first, else the best ratio over threshold.
 
@@ -152,8 +198,11 @@ def fuzzy_join(left: DataFrame, right: DataFrame, name: str, ref: str, threshold
     r = written(refs.select("match", in_order("match").alias("y")).withColumn("b", F.length("y")), "names-right")
     names = written(names.select("name", in_order("name").alias("x")).withColumn("a", F.length("x")), "names-left")
     exact = names.join(r.hint("merge"), F.col("name") == F.col("match")).select("name", "match", F.lit(100.0).alias("score"))
-    l = names.join(r.hint("merge"), F.col("name") == F.col("match"), "left_anti")
-    scored = alike(l, r, Bounds(threshold)).select("name", "match", ratio("x", "y").alias("score"))
+    l = written(names.join(r.hint("merge"), F.col("name") == F.col("match"), "left_anti"), "names-other")
+    found, rest = nearest(l, r, threshold)
+    scored = alike(rest, r, Bounds(threshold)).select("name", "match", ratio("x", "y").alias("score"))
+    for pairs in found:
+        scored = scored.unionByName(pairs)
     blank = r.where("b = 0").agg(F.min("match").alias("match")).where("match is not null")
     blank = l.where("a = 0").select("name", F.lit(0).alias("b")).join(blank.withColumn("b", F.lit(0)).hint("merge"), "b").select("name", "match", F.lit(100.0).alias("score"))
     scored = scored.unionByName(blank)
