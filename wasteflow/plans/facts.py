@@ -78,11 +78,12 @@ def _(t):
     return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
 
 
-def reports(t):
+def reports(t, dealt: bool = True):
     """Report texts rendered from the listings. Narrow rows are dealt by id first: the patterns cost far more than this
-    shuffle, and a file of one row group would leave them to one task."""
+    shuffle, and a file of one row group would leave them to one task. Not dealt for a caller that groups them anyway."""
     text = "concat('recycled ', CAST(quantity_tons AS INT), ',000 tonnes of ', material, '. Scope 1: ', year, ' tCO2e. Electricity consumption: ', CAST(quantity_tons AS INT), ' MWh. EUR ', year, ' million. purchased ', year, ' carbon credits.')"
-    rows = t.listings.select("id", "source_company", "year", "quantity_tons", "material").repartition("id")
+    rows = t.listings.select("id", "source_company", "year", "quantity_tons", "material")
+    rows = rows.repartition("id") if dealt else rows
     return rows.select("id", "source_company", "year", F.expr(text).alias("text"))
 
 
