@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -114,17 +115,39 @@ def route_results(df: DataFrame, kind: str = "record_type") -> dict[str, DataFra
     return {k: good.where(F.col(kind) == k).drop("violations") for k in ("waste_listing", "carbon_emission", "symbiosis_exchange")} | {"rejected": df.where(F.size("violations") > 0)}
 
 
+# A scan takes so many texts at a time and gives so many rows at most; it keeps the rows of so many texts of so many characters.
+TEXTS, ROWS, KEPT, KEPT_LENGTH = 256, 4096, 1 << 15, 500
+
+
 def scan_texts(df: DataFrame, find, schema: str, key: str, text: str) -> DataFrame:
-    """Rows of find(text) -> list of tuples for every text, with its key; null texts give none. Arrow batches, no shuffle."""
+    """Rows of find(text) -> tuples for every text, with its key; null texts give none. Arrow batches, no shuffle.
+
+    A task keeps what it found in the short texts that it met last, as rendered ones come again. Texts and rows pass in small
+    lots, so a task's memory depends on neither the batch nor how much a text holds.
+    """
     names, kinds = zip(*[s.split() for s in schema.split(", ")])
     types = [{"string": pa.string(), "double": pa.float64()}[k] for k in kinds]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = lru_cache(KEPT)(lambda t: tuple(find(t)))
+
+        def made(keys: pa.Array, at: list[int], hits: list[tuple]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([keys.take(pa.array(at)), *[pa.array(c, t) for c, t in zip(zip(*hits), types)]], names=[key, *names])
+
         for b in batches:
-            hits = [(i, *r) for i, t in enumerate(b.column(1).to_pylist()) if t is not None for r in find(t)]
-            if hits:
-                at, *columns = zip(*hits)
-                yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(at)), *[pa.array(c, t) for c, t in zip(columns, types)]], names=[key, *names])
+            for start in range(0, b.num_rows, TEXTS):
+                part = b.slice(start, TEXTS)
+                at, hits = [], []
+                for i, t in enumerate(part.column(1)):
+                    t = t.as_py()
+                    for r in () if t is None else known(t) if len(t) <= KEPT_LENGTH else find(t):
+                        at.append(i)
+                        hits.append(r)
+                        if len(hits) == ROWS:
+                            yield made(part.column(0), at, hits)
+                            at, hits = [], []
+                if hits:
+                    yield made(part.column(0), at, hits)
 
     return df.select(key, text).mapInArrow(run, f"{key} {dict(df.dtypes)[key]}, {schema}")
 
