@@ -1,6 +1,7 @@
 """Scans of texts by Python."""
 
 import pyarrow as pa
+import pytest
 
 import __spark_entry__ as entry
 from wasteflow.operators import facts
@@ -28,3 +29,9 @@ def test_scans_give_small_lots_and_read_equal_texts_once(spark):
     seen.value = 0
     df = spark.range(0, 3000, 1, 1).selectExpr("id AS k", "concat('a b c', id % 3) AS t")
     assert facts.scan_texts(df, find, "w string", "k", "t").count() == 9000 and seen.value == 3
+
+
+@pytest.mark.parametrize("name", ["d4_rewrite_quantities", "e2_extract_waste"])
+def test_patterns_over_quotes_are_dealt(spark, name):
+    """A file of one row group is one task; the patterns run after a shuffle by id."""
+    assert "RepartitionByExpression [id" in entry.queries()[name](spark, SF)._jdf.queryExecution().analyzed().toString()

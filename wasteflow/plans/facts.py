@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import csr
 from ..operators import facts as E
 from .catalog import query
+from .views import dealt_quotes
 
 
 @query("e1_detect_schema", """SELECT doc_id, CASE WHEN regexp_matches(lower(text), 'co2|carbon|emission|ghg|greenhouse') THEN 'carbon_emission' WHEN regexp_matches(lower(text), 'symbiosis|exchange|industrial park|eco-park') THEN 'symbiosis_exchange' ELSE 'waste_listing' END AS schema FROM {documents}""")
@@ -17,7 +18,7 @@ def _(t):
 @query("e2_extract_waste", "SELECT id, source_quote, quantity_tons::INT::DOUBLE AS quantity, 'tonnes' AS unit, year FROM {listings}")
 def _(t):
     w = E.extract_waste(F.col("source_quote"))
-    return t.listings.select("id", w["source_quote"].alias("source_quote"), w["quantity"].alias("quantity"), w["unit"].alias("unit"), w["year"].alias("year"))
+    return dealt_quotes(t).select("id", w["source_quote"].alias("source_quote"), w["quantity"].alias("quantity"), w["unit"].alias("unit"), w["year"].alias("year"))
 
 
 @query("e3_extract_carbon", "SELECT o_orderkey, 'In ' || year(o_orderdate)::VARCHAR || ' we emitted 1,' || (100 + o_orderkey % 900)::VARCHAR || ' million tonnes of CO2 in all.' AS source_quote, (1100 + o_orderkey % 900)::DOUBLE * 1000000 AS co2_tons, CASE WHEN year(o_orderdate) >= 2000 THEN year(o_orderdate)::INT END AS year FROM {orders}")

@@ -10,6 +10,7 @@ from ..operators import names as names_of
 from ..operators import normalize as N
 from ..operators.classify import backfill, by_value, classify, sql_case
 from .catalog import best_alike_sql, query
+from .views import dealt_quotes
 
 UNIT = "CASE l_linenumber % 5 WHEN 0 THEN 'kg' WHEN 1 THEN 'tons' WHEN 2 THEN 'lbs' WHEN 3 THEN 'tonnes' ELSE 'barrels' END"
 
@@ -41,7 +42,7 @@ def _(t):
 
 @query("d4_rewrite_quantities", "SELECT id, regexp_replace(source_quote, '([0-9]+) tonnes', '\\1 metric_ton') AS text FROM {listings}")
 def _(t):
-    return t.listings.select("id", N.rewrite_quantities(F.col("source_quote")).alias("text"))
+    return dealt_quotes(t).select("id", N.rewrite_quantities(F.col("source_quote")).alias("text"))
 
 
 @query("d5_classify", f"SELECT id, material, {sql_case('material', R.PART_RULES, 'other')} AS category FROM {{listings}}")

@@ -39,6 +39,12 @@ VIEWS = {
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
+def dealt_quotes(t: Tables) -> DataFrame:
+    """id and source_quote of the listings, dealt by id: patterns cost far more than this shuffle, and a file of one row
+    group would leave them to one task."""
+    return t.listings.select("id", "source_quote").repartition("id")
+
+
 def names_in(text: str) -> list[str]:
     return [n for n in (*TABLES, *VIEWS) if "{" + n + "}" in text]
 
