@@ -1,13 +1,16 @@
 """Text and HTML cleaning as column expressions.
 
-Unicode forms need Python; it gets the texts that are not ASCII, and nulls for all others.
+Unicode forms need Python; it gets the few characters of a text that a form may change, never whole texts.
 """
 
 from __future__ import annotations
 
+import sys
 import unicodedata
+from functools import cache
 
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -55,16 +58,54 @@ def plain_chars(text: Column) -> Column:
     return text
 
 
+@cache
+def unsettled(form: str) -> str:
+    """Pattern class of the characters that a form changes, orders, or joins to the one before; it may hold others beside them.
+
+    A form can be taken of each part by itself if a text is cut before characters outside of it.
+    """
+    points = [c for c in range(sys.maxunicode + 1) if not 0xD800 <= c < 0xE000]
+    found = {c for c in points if unicodedata.combining(chr(c)) or unicodedata.normalize(form, chr(c)) != chr(c)}
+    pairs = (unicodedata.decomposition(chr(c)).split() for c in points)
+    found |= {int(p[1], 16) for p in pairs if len(p) == 2 and p[0][0] != "<"} | {*range(0x1161, 0x1176), *range(0x11A8, 0x11C3)}
+    ranges: list[list[int]] = []
+    for c in sorted(found):
+        if ranges and c - ranges[-1][1] <= 8:
+            ranges[-1][1] = c
+        else:
+            ranges.append([c, c])
+    span = lambda low, high: f"\\x{{{low:X}}}-\\x{{{high:X}}}"
+    lots = [ranges[i : i + 16] for i in range(0, len(ranges), 16)]  # a character is sought in one lot only, one below all in none
+    within = "".join(f"[{span(lot[0][0], lot[-1][1])}&&[{''.join(span(*r) for r in lot)}]]" for lot in lots)
+    return f"[{span(ranges[0][0], ranges[-1][1])}&&[{within}]]"
+
+
 def unicode_form(form: str):
-    @F.pandas_udf("string")
-    def normal(s: pd.Series) -> pd.Series:
-        return s.map(lambda x: unicodedata.normalize(form, x), na_action="ignore")
+    @F.arrow_udf("array<string>")
+    def normal(a: pa.Array) -> pa.Array:
+        runs = a.flatten().dictionary_encode()
+        changed = pa.array([unicodedata.normalize(form, x) for x in runs.dictionary.to_pylist()], runs.dictionary.type)
+        ends = pc.cumulative_sum(pc.fill_null(pc.list_value_length(a), 0)).cast(pa.int32())
+        starts = pa.concat_arrays([pa.array([0], pa.int32()), ends])
+        return pa.ListArray.from_arrays(starts, changed.take(runs.indices), mask=a.is_null())
 
     return normal
 
 
 def in_form(text: Column, form: str) -> Column:
-    return F.coalesce(unicode_form(form)(F.when(text.rlike(r"[^\x00-\x7F]"), text)), text)
+    """The text is cut around runs of unsettled characters with the one before; Python gives the form of the runs."""
+    some = unsettled(form)
+    run = f"(?s).?{some}+"
+
+    def cut(t: Column) -> Column:
+        pieces = F.struct(F.split(t, run, -1).alias("between"), F.regexp_extract_all(t, F.lit(run), F.lit(0)).alias("runs"))
+        whole = F.struct(F.array(t).alias("between"), F.lit(None).cast("array<string>").alias("runs"))
+        return F.when(t.rlike(r"[^\x00-\x7F]") & t.rlike(some), pieces).when(t.isNotNull(), whole)
+
+    parts = once(text, cut)
+    between, runs = parts["between"], unicode_form(form)(parts["runs"])
+    joined = F.array_join(F.zip_with(between, runs, lambda b, r: F.concat(b, F.coalesce(r, F.lit("")))), "")
+    return F.coalesce(joined, between[0])
 
 
 def normalize_unicode(text: Column) -> Column:
